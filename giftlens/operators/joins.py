@@ -1,0 +1,17 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
+
+    The check is a bounded count (``limit(max_rows + 1)``), so it never
+    scans more than ``max_rows + 1`` rows.  Beyond the bound the frame is
+    returned unhinted and AQE plans a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
