@@ -14,7 +14,8 @@ def money_sum(c: Column) -> Column:
 
 
 def money_avg(c: Column) -> Column:
-    return (F.sum(c.cast(MONEY)) / F.count(c)).cast("double")
+    """Mean of money: exact sum, then one double division."""
+    return F.try_divide(money_sum(c), F.count(c).cast("double"))
 
 
 def median(c: Column, exact: bool = True) -> Column:

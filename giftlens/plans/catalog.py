@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from giftlens.config import AnalysisParams, ColumnMap
-from giftlens.operators import cleaning, reports
+from giftlens.operators import cleaning, donors, quality, reports, rfm
 from giftlens.sources import fixtures
 
 C = ColumnMap()
@@ -56,3 +56,198 @@ def typed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("trend_year")
 def q_trend_year(spark, sf_dir):
     return reports.trend_year(clean_gifts(spark, sf_dir), C)
+
+
+@register("trend_year_major")
+def q_trend_year_major(spark, sf_dir):
+    return reports.trend_year_major(clean_gifts(spark, sf_dir), MAJOR, C)
+
+
+@register("trend_month")
+def q_trend_month(spark, sf_dir):
+    return reports.trend_month(clean_gifts(spark, sf_dir), C)
+
+
+def _dist(col):
+    def q(spark, sf_dir):
+        return reports.distribution(clean_gifts(spark, sf_dir), col, 50, C)
+    return q
+
+
+for _key, _col in (("dist_gender", C.gender), ("dist_occupation", C.occupation_desc),
+                   ("dist_religion", C.religion), ("dist_suburb", C.suburb)):
+    register(_key)(_dist(_col))
+
+
+@register("appeal_performance")
+def q_appeal_performance(spark, sf_dir):
+    return reports.appeal_performance(clean_gifts(spark, sf_dir), C)
+
+
+@register("fund_performance")
+def q_fund_performance(spark, sf_dir):
+    return reports.fund_performance(clean_gifts(spark, sf_dir), C)
+
+
+@register("relationship_summary")
+def q_relationship_summary(spark, sf_dir):
+    return reports.relationship_summary(clean_gifts(spark, sf_dir), C)
+
+
+@register("relationship_trend")
+def q_relationship_trend(spark, sf_dir):
+    return reports.relationship_trend(clean_gifts(spark, sf_dir), C)
+
+
+# -- cleaning and quality ----------------------------------------------------
+
+@register("clean_null_tokens")
+def q_clean_null_tokens(spark, sf_dir):
+    return cleaning.null_tokens(fixtures.dirty_gifts(spark, sf_dir))
+
+
+@register("clean_amount_cast")
+def q_clean_amount_cast(spark, sf_dir):
+    d = cleaning.coerce_amount(cleaning.null_tokens(fixtures.dirty_gifts(spark, sf_dir)), C)
+    return d.select("ReceiptSeq", "Amount")
+
+
+@register("clean_id")
+def q_clean_id(spark, sf_dir):
+    d = cleaning.normalize_id(cleaning.null_tokens(fixtures.dirty_gifts(spark, sf_dir)), C)
+    return d.select("ReceiptSeq", "ID")
+
+
+@register("clean_dates")
+def q_clean_dates(spark, sf_dir):
+    d = cleaning.parse_dates(cleaning.null_tokens(fixtures.dirty_gifts(spark, sf_dir)), C)
+    return d.select("ReceiptSeq", "Date")
+
+
+@register("date_parse_loss")
+def q_date_parse_loss(spark, sf_dir):
+    return cleaning.date_parse_loss(cleaning.null_tokens(fixtures.dirty_gifts(spark, sf_dir)), C)
+
+
+@register("temporal_features")
+def q_temporal_features(spark, sf_dir):
+    return cleaning.add_temporal(fixtures.gifts(spark, sf_dir), C).select(
+        "ReceiptSeq", "Year", "MonthPeriod", "Month")
+
+
+@register("normalize_categoricals")
+def q_normalize_categoricals(spark, sf_dir):
+    g = cleaning.normalize_categoricals(fixtures.gifts(spark, sf_dir), C)
+    return g.select("ReceiptSeq", *[c for c in C.categoricals if c in g.columns])
+
+
+@register("flag_mapping")
+def q_flag_mapping(spark, sf_dir):
+    return cleaning.map_flags(typed_dirty(spark, sf_dir), C).select("ReceiptSeq", "CurrentParent")
+
+
+@register("positive_amounts")
+def q_positive_amounts(spark, sf_dir):
+    return cleaning.positive_amounts(typed_dirty(spark, sf_dir), C).select("ReceiptSeq", "ID", "Amount")
+
+
+@register("flag_anomalies")
+def q_flag_anomalies(spark, sf_dir):
+    return cleaning.flag_anomalies(typed_dirty(spark, sf_dir), C)
+
+
+@register("year_slice")
+def q_year_slice(spark, sf_dir):
+    return cleaning.year_slice(clean_gifts(spark, sf_dir), YEAR_CUTOFF).select(
+        "ReceiptSeq", "ID", "Year", "Amount")
+
+
+@register("preprocess_stats")
+def q_preprocess_stats(spark, sf_dir):
+    return cleaning.preprocess_stats(typed_dirty(spark, sf_dir), C)
+
+
+@register("dedup_exact")
+def q_dedup_exact(spark, sf_dir):
+    return cleaning.dedup_exact(typed_dirty(spark, sf_dir).drop("ReceiptSeq"))
+
+
+@register("quality_amount")
+def q_quality_amount(spark, sf_dir):
+    return quality.quality_amount(typed_dirty(spark, sf_dir), C)
+
+
+@register("quality_dates")
+def q_quality_dates(spark, sf_dir):
+    return quality.quality_dates(typed_dirty(spark, sf_dir), C)
+
+
+@register("quality_flags")
+def q_quality_flags(spark, sf_dir):
+    return quality.quality_flags(cleaning.null_tokens(fixtures.dirty_gifts(spark, sf_dir)), C)
+
+
+# -- RFM and donor lists -----------------------------------------------------
+
+def _rfm(spark, sf_dir):
+    return rfm.rfm_table(clean_gifts(spark, sf_dir), C, FIXTURE_PARAMS)
+
+
+@register("rfm_table")
+def q_rfm_table(spark, sf_dir):
+    return _rfm(spark, sf_dir)
+
+
+@register("rfm_scores")
+def q_rfm_scores(spark, sf_dir):
+    return _rfm(spark, sf_dir).select("ID", "R_score", "F_score", "M_score", "RFM_Score")
+
+
+@register("rfm_segment_distribution")
+def q_rfm_segment_distribution(spark, sf_dir):
+    return rfm.segment_distribution(_rfm(spark, sf_dir))
+
+
+@register("rfm_timed")
+def q_rfm_timed(spark, sf_dir):
+    params = FIXTURE_PARAMS.with_(rfm_reference=_dt.datetime(2024, 2, 1, 6, 0, 0))
+    return rfm.rfm_table(fixtures.timed_gifts(spark, sf_dir), C, params)
+
+
+@register("lapsed_targets")
+def q_lapsed_targets(spark, sf_dir):
+    return rfm.lapsed_targets(_rfm(spark, sf_dir), 730, 1_000_000.0, C)
+
+
+def _summary(spark, sf_dir):
+    return donors.donor_summary(clean_gifts(spark, sf_dir), C)
+
+
+@register("donor_summary")
+def q_donor_summary(spark, sf_dir):
+    return _summary(spark, sf_dir)
+
+
+@register("lapsed_12m")
+def q_lapsed_12m(spark, sf_dir):
+    return donors.lapsed_12m(_summary(spark, sf_dir), 365, 1_000_000.0, C)
+
+
+@register("high_potential_sleeper")
+def q_high_potential_sleeper(spark, sf_dir):
+    return donors.high_potential_sleeper(_summary(spark, sf_dir), 365, 2_000_000.0, C)
+
+
+@register("upgrade_candidates")
+def q_upgrade_candidates(spark, sf_dir):
+    return donors.upgrade_candidates(_summary(spark, sf_dir), FIXTURE_PARAMS, C)
+
+
+@register("new_donors_90d")
+def q_new_donors_90d(spark, sf_dir):
+    return donors.new_donors(_summary(spark, sf_dir), FIXTURE_PARAMS.new_donor_days, C)
+
+
+@register("donor_spine")
+def q_donor_spine(spark, sf_dir):
+    return donors.donor_spine(clean_gifts(spark, sf_dir), C)

@@ -77,3 +77,252 @@ FROM r ORDER BY Year DESC"""
 ORACLE: dict[str, str] = {}
 
 ORACLE["trend_year"] = _trend_year()
+
+ORACLE["trend_year_major"] = _trend_year("AND Amount >= 450000")
+
+ORACLE["trend_month"] = f"""
+WITH {CLEAN}
+SELECT Month, {money()} AS total_amount, COUNT(DISTINCT ID) AS donors, COUNT(*) AS donation_count,
+  {money()} / COUNT(*) AS avg_amount_per_donation,
+  {money()} / COUNT(DISTINCT ID) AS avg_amount_per_donor,
+  COUNT(*) / COUNT(DISTINCT ID) AS avg_donations_per_donor
+FROM clean WHERE MonthPeriod IS NOT NULL GROUP BY Month ORDER BY Month DESC"""
+
+
+def _dist(col: str, top: int | None) -> str:
+    lim = f"LIMIT {top}" if top else ""
+    return f"""
+WITH {CLEAN}
+SELECT {col}, {money()} AS total_amount, COUNT(DISTINCT ID) AS donors, COUNT(*) AS donation_count,
+  {money()} / COUNT(*) AS avg_amount_per_donation,
+  {money()} / COUNT(DISTINCT ID) AS avg_amount_per_donor
+FROM clean WHERE {col} IS NOT NULL GROUP BY {col}
+ORDER BY total_amount DESC, donation_count DESC, {col} ASC {lim}"""
+
+
+ORACLE["dist_gender"] = _dist("Gender", 50)
+ORACLE["dist_occupation"] = _dist("OccupDesc", 50)
+ORACLE["dist_religion"] = _dist("ReligionCode", 50)
+ORACLE["dist_suburb"] = _dist("Suburb", 50)
+ORACLE["appeal_performance"] = _dist("Appeal", None)
+ORACLE["fund_performance"] = _dist("Fund", None)
+
+ORACLE["relationship_summary"] = f"""
+WITH {CLEAN}
+SELECT CurrentParent, PastParent, PastStudent, FutureParent,
+  COUNT(DISTINCT ID) AS donors, COUNT(*) AS donation_count, {money()} AS total_amount,
+  {money()} / COUNT(Amount) AS avg_amount, round(quantile_cont(Amount, 0.5), 6) AS median_amount
+FROM clean GROUP BY CurrentParent, PastParent, PastStudent, FutureParent"""
+
+ORACLE["relationship_trend"] = f"""
+WITH {CLEAN}
+SELECT Year, CurrentParent, PastParent, PastStudent, FutureParent,
+  {money()} AS total_amount, COUNT(*) AS donation_count
+FROM clean WHERE Year IS NOT NULL
+GROUP BY Year, CurrentParent, PastParent, PastStudent, FutureParent"""
+
+# -- dirty receipts ----------------------------------------------------------
+
+DIRTY = """
+dirty AS (
+  SELECT event_id AS ReceiptSeq,
+    CASE event_id % 13 WHEN 0 THEN 'NA' WHEN 1 THEN CONCAT(' 00', CAST(user_id AS VARCHAR), ' ')
+         ELSE CONCAT('00', CAST(user_id AS VARCHAR)) END AS ID,
+    CASE event_id % 5
+      WHEN 0 THEN CONCAT(LPAD(CAST(day(ts) AS VARCHAR), 2, '0'), '/', LPAD(CAST(month(ts) AS VARCHAR), 2, '0'),
+                         '/', CAST(year(ts) AS VARCHAR))
+      WHEN 1 THEN 'not a date' WHEN 2 THEN NULL
+      ELSE CONCAT(CAST(year(ts) AS VARCHAR), '-', LPAD(CAST(month(ts) AS VARCHAR), 2, '0'), '-',
+                  LPAD(CAST(day(ts) AS VARCHAR), 2, '0')) END AS Date,
+    CASE event_id % 11 WHEN 0 THEN 'abc' WHEN 1 THEN '' WHEN 2 THEN '-5' WHEN 3 THEN '0' WHEN 4 THEN '12d'
+         WHEN 5 THEN 'NaN' WHEN 6 THEN ' 12.5 ' ELSE CAST(value AS VARCHAR) END AS Amount,
+    CASE event_id % 12 WHEN 0 THEN 'Y' WHEN 1 THEN ' yes ' WHEN 2 THEN 'T' WHEN 3 THEN '1' WHEN 4 THEN '1.0'
+         WHEN 5 THEN 'N' WHEN 6 THEN '' WHEN 7 THEN 'false' WHEN 8 THEN '2' WHEN 9 THEN '2.7'
+         WHEN 10 THEN 'maybe' END AS CurrentParent,
+    CASE event_id % 6 WHEN 0 THEN ' click' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN 'nan'
+         ELSE event_type END AS Gender
+  FROM events
+)"""
+
+NA = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+      "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'")
+
+
+def _na(c: str) -> str:
+    return f"CASE WHEN {c} IN ({NA}) THEN NULL ELSE {c} END AS {c}"
+
+
+NUM_RE = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def _num(c: str) -> str:
+    v = f"CASE WHEN regexp_matches({c}, '{NUM_RE}') THEN TRY_CAST(trim({c}) AS DOUBLE) END"
+    return f"CASE WHEN isnan({v}) THEN NULL ELSE {v} END"
+
+
+def _date(c: str) -> str:
+    return (f"COALESCE(try_strptime(trim({c}), '%d/%m/%Y'), try_strptime(trim({c}), '%Y-%m-%d'), "
+            f"try_strptime(trim({c}), '%Y-%m-%d %H:%M:%S'), try_strptime(trim({c}), '%d/%m/%Y %H:%M:%S'))")
+
+
+NULLED = DIRTY + """,
+nulled AS (
+  SELECT ReceiptSeq, """ + ", ".join(_na(c) for c in ("ID", "Date", "Amount", "CurrentParent", "Gender")) + """
+  FROM dirty
+)"""
+
+TYPED = NULLED + """,
+typed AS (
+  SELECT ReceiptSeq, COALESCE(trim(ID), 'nan') AS ID, """ + _date("Date") + """ AS Date,
+    """ + _num("Amount") + """ AS Amount, CurrentParent, Gender
+  FROM nulled
+)"""
+
+
+def _flag_value(c: str) -> str:
+    s = f"lower(trim({c}))"
+    return (f"CASE WHEN {c} IS NULL THEN NULL WHEN {s} IN ('1','y','yes','true','t') THEN 1.0 "
+            f"WHEN {s} IN ('0','n','no','false','f','') THEN 0.0 ELSE {_num(c)} END")
+
+
+ORACLE["clean_null_tokens"] = f"WITH {NULLED} SELECT * FROM nulled"
+ORACLE["clean_amount_cast"] = f"WITH {NULLED} SELECT ReceiptSeq, {_num('Amount')} AS Amount FROM nulled"
+ORACLE["clean_id"] = f"WITH {NULLED} SELECT ReceiptSeq, COALESCE(trim(ID), 'nan') AS ID FROM nulled"
+ORACLE["clean_dates"] = f"WITH {NULLED} SELECT ReceiptSeq, {_date('Date')} AS Date FROM nulled"
+ORACLE["date_parse_loss"] = f"""
+WITH {NULLED}
+SELECT 'Date' AS "column", COUNT(Date) - COUNT({_date('Date')}) AS lost FROM nulled"""
+ORACLE["temporal_features"] = f"""
+WITH {GIFTS}
+SELECT ReceiptSeq, CAST(year(Date) AS INTEGER) AS Year, CAST(date_trunc('month', Date) AS DATE) AS MonthPeriod,
+  strftime(Date, '%Y-%m') AS Month FROM gifts"""
+ORACLE["normalize_categoricals"] = f"""
+WITH {GIFTS}
+SELECT ReceiptSeq, {", ".join(_cat(c) for c in CATS)} FROM gifts"""
+ORACLE["flag_mapping"] = f"""
+WITH {TYPED}
+SELECT ReceiptSeq, CAST(trunc(COALESCE({_flag_value('CurrentParent')}, 0.0)) AS INTEGER) AS CurrentParent
+FROM typed"""
+ORACLE["positive_amounts"] = f"WITH {TYPED} SELECT ReceiptSeq, ID, Amount FROM typed WHERE Amount > 0"
+ORACLE["flag_anomalies"] = f"""
+WITH {TYPED}, v AS (SELECT ID, 'CurrentParent' AS FlagColumn, {_flag_value('CurrentParent')} AS Value FROM typed)
+SELECT * FROM v WHERE Value IS NOT NULL AND Value NOT IN (0.0, 1.0)"""
+ORACLE["year_slice"] = f"WITH {CLEAN} SELECT ReceiptSeq, ID, Year, Amount FROM clean WHERE Year >= 1996"
+ORACLE["preprocess_stats"] = f"""
+WITH {TYPED}
+SELECT COUNT(*) AS rows_before, COUNT(*) FILTER (WHERE Amount > 0) AS rows_after,
+  COUNT(*) - COUNT(*) FILTER (WHERE Amount > 0) AS rows_removed,
+  6 AS cols_before, 9 AS cols_after, 'Month,MonthPeriod,Year' AS new_columns
+FROM typed"""
+ORACLE["dedup_exact"] = f"WITH {TYPED} SELECT DISTINCT ID, Date, Amount, CurrentParent, Gender FROM typed"
+ORACLE["quality_amount"] = f"""
+WITH {TYPED}
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE Amount IS NULL) AS null_count,
+  COUNT(*) FILTER (WHERE Amount < 0) AS negative_count, COUNT(*) FILTER (WHERE Amount = 0) AS zero_count
+FROM typed"""
+ORACLE["quality_dates"] = f"""
+WITH {TYPED},
+t AS (SELECT COUNT(Date) AS valid_dates, MIN(Date) AS min_date, MAX(Date) AS max_date FROM typed),
+s AS (SELECT *, floor((epoch_us(max_date) - epoch_us(min_date)) / 86400000000.0) / 365.25 AS span_years FROM t)
+SELECT *, CASE WHEN valid_dates = 0 THEN 'error' WHEN span_years < 1 THEN 'warning'
+               WHEN span_years > 50 THEN 'warning' ELSE 'ok' END AS severity FROM s"""
+ORACLE["quality_flags"] = f"""
+WITH {NULLED}
+SELECT 'CurrentParent' AS "column",
+  COUNT(*) FILTER (WHERE {_num('CurrentParent')} IS NOT NULL AND {_num('CurrentParent')} NOT IN (0.0, 1.0))
+    AS invalid_count
+FROM nulled"""
+
+# -- RFM ---------------------------------------------------------------------
+
+
+def _days(a: str, b: str) -> str:
+    """Whole elapsed days from a to b."""
+    return f"CAST(floor((epoch_us({b}) - epoch_us({a})) / 86400000000.0) AS BIGINT)"
+
+
+def _gt(x: str, edges: str, n: int = 4) -> str:
+    """Number of (6-decimal rounded) edges strictly below x."""
+    return " + ".join(f"CAST({x} > round({edges}[{i}], 6) AS INTEGER)" for i in range(1, n + 1))
+
+
+def _rfm(source_cte: str, src: str, ref_sql: str) -> str:
+    return f"""
+WITH {source_cte},
+base AS (SELECT * FROM {src} WHERE Date IS NOT NULL),
+ref AS (SELECT {ref_sql} AS ref),
+m AS (
+  SELECT ID, {_days('max(Date)', 'any_value(ref.ref)')} AS Recency, COUNT(Date) AS Frequency,
+    {money()} AS Monetary, arg_max(Amount, {{'d': Date, 's': ReceiptSeq}}) AS LastAmount,
+    MIN(Date) AS FirstGiftDate, MAX(Date) AS LastGiftDate
+  FROM base, ref GROUP BY ID
+),
+e AS (
+  SELECT quantile_cont(-Recency, [0.2, 0.4, 0.6, 0.8]) AS r,
+         quantile_cont(Frequency, [0.2, 0.4, 0.6, 0.8]) AS f,
+         quantile_cont(Monetary, [0.2, 0.4, 0.6, 0.8]) AS m
+  FROM m
+),
+s AS (
+  SELECT m.*,
+    CAST(1 + {_gt('-Recency', 'e.r')} AS INTEGER) AS R_score,
+    CAST(1 + {_gt('Frequency', 'e.f')} AS INTEGER) AS F_score,
+    CAST(1 + {_gt('Monetary', 'e.m')} AS INTEGER) AS M_score
+  FROM m, e
+)
+SELECT *, R_score + F_score + M_score AS RFM_Score,
+  CASE WHEN R_score >= 4 AND F_score >= 4 AND M_score >= 4 THEN 'Champion'
+       WHEN R_score >= 4 AND F_score >= 3 THEN 'Loyal'
+       WHEN R_score <= 2 AND F_score <= 2 AND M_score <= 2 THEN 'At Risk / Lapsed'
+       WHEN R_score >= 4 AND M_score >= 4 THEN 'High Potential'
+       ELSE 'Regular' END AS RFM_Segment
+FROM s"""
+
+
+RFM = _rfm(CLEAN, "clean", "(SELECT MAX(Date) FROM base) + INTERVAL 1 DAY")
+TIMED = """
+timed AS (SELECT event_id AS ReceiptSeq, CAST(user_id AS VARCHAR) AS ID, ts AS Date, value AS Amount FROM events)"""
+
+ORACLE["rfm_table"] = RFM
+ORACLE["rfm_scores"] = f"SELECT ID, R_score, F_score, M_score, RFM_Score FROM ({RFM})"
+ORACLE["rfm_segment_distribution"] = f"""
+SELECT RFM_Segment, COUNT(*) AS count, COUNT(*) / SUM(COUNT(*)) OVER () * 100.0 AS pct
+FROM ({RFM}) GROUP BY RFM_Segment"""
+ORACLE["rfm_timed"] = _rfm(TIMED, "timed", "TIMESTAMP '2024-02-01 06:00:00'")
+ORACLE["lapsed_targets"] = f"""
+SELECT ID, Recency, Frequency, Monetary, RFM_Segment FROM ({RFM})
+WHERE Recency >= 730 AND Monetary >= 1000000"""
+
+SUMMARY = f"""
+WITH {CLEAN},
+ref AS (SELECT MAX(Date) + INTERVAL 1 DAY AS ref FROM clean),
+b AS (SELECT clean.*, ref.ref,
+        Date > ref.ref - INTERVAL 365 DAY AS recent,
+        Date <= ref.ref - INTERVAL 365 DAY AND Date > ref.ref - INTERVAL 730 DAY AS prev
+      FROM clean, ref)
+SELECT ID, MAX(Date) AS LastGiftDate, MIN(Date) AS FirstGiftDate, COUNT(Date) AS Frequency,
+  {money()} AS Monetary, {money()} / COUNT(Amount) AS AvgAmount,
+  arg_max(Amount, {{'d': Date, 's': ReceiptSeq}}) AS LastAmount,
+  {_days('MAX(Date)', 'any_value(ref)')} AS Recency,
+  COUNT(*) FILTER (WHERE recent) AS Gifts12,
+  CAST(COALESCE(SUM(CAST(Amount AS DECIMAL(18,2))) FILTER (WHERE recent), 0) AS DOUBLE) AS Amt12,
+  COUNT(*) FILTER (WHERE prev) AS GiftsPrev12,
+  CAST(COALESCE(SUM(CAST(Amount AS DECIMAL(18,2))) FILTER (WHERE prev), 0) AS DOUBLE) AS AmtPrev12
+FROM b GROUP BY ID"""
+
+LIST_COLS = ("ID, Recency, Frequency, Monetary, AvgAmount, LastAmount, LastGiftDate, FirstGiftDate, "
+             "Gifts12, Amt12, GiftsPrev12, AmtPrev12")
+ORACLE["donor_summary"] = SUMMARY
+ORACLE["lapsed_12m"] = f"SELECT {LIST_COLS} FROM ({SUMMARY}) WHERE Recency >= 365 AND Monetary >= 1000000"
+ORACLE["high_potential_sleeper"] = (f"SELECT {LIST_COLS} FROM ({SUMMARY}) "
+                                    "WHERE Recency >= 365 AND Monetary >= 2000000")
+ORACLE["upgrade_candidates"] = f"""
+WITH s AS ({SUMMARY})
+SELECT {LIST_COLS} FROM s
+WHERE LastGiftDate >= (SELECT MAX(LastGiftDate) FROM s) - INTERVAL 365 DAY
+  AND LastAmount >= 1.5 * AvgAmount AND Frequency >= 2"""
+ORACLE["new_donors_90d"] = f"""
+WITH s AS ({SUMMARY})
+SELECT ID, Recency, Frequency, Monetary, AvgAmount, LastAmount, LastGiftDate, FirstGiftDate, Gifts12, Amt12
+FROM s WHERE FirstGiftDate >= (SELECT MAX(FirstGiftDate) FROM s) - INTERVAL 90 DAY"""
+ORACLE["donor_spine"] = f"WITH {CLEAN} SELECT DISTINCT ID FROM clean"
