@@ -28,7 +28,8 @@ def donor_summary(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
     """A11 + A12: lifetime metrics and the last / previous 12 months
     (``(ref-365d, ref]`` and ``(ref-730d, ref-365d]``, ref = latest + 1d)."""
     d, a = F.col(cols.date), F.col(cols.amount)
-    ref = add_days(df.agg(F.max(d)).scalar(), 1)
+    df = df.withColumn("__ref", add_days(df.agg(F.max(d)).scalar(), 1))
+    ref = F.col("__ref")
     cut12 = add_days(ref, -WINDOW_DAYS)
     cut24 = add_days(ref, -2 * WINDOW_DAYS)
     recent = d > cut12
@@ -40,7 +41,7 @@ def donor_summary(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
         money_avg(a).alias("AvgAmount"), last_by(a, d, seq).alias("LastAmount"),
         F.count_if(recent).alias("Gifts12"),
         F.coalesce(F.sum(F.when(recent, a.cast(MONEY))), F.lit(0).cast(MONEY)).cast("double").alias("Amt12"),
-        F.count_if(prev).alias("GiftsPrev12"),
+        F.count_if(prev).alias("GiftsPrev12"), F.first("__ref").alias("__ref"),
         F.coalesce(F.sum(F.when(prev, a.cast(MONEY))), F.lit(0).cast(MONEY)).cast("double").alias("AmtPrev12"))
     return s.select(cols.donor_id, "LastGiftDate", "FirstGiftDate", "Frequency", "Monetary",
                     "AvgAmount", "LastAmount",
@@ -72,8 +73,8 @@ def upgrade_candidates(summary: DataFrame, params: AnalysisParams = _A,
     """L4: gave within a year of the latest gift, last gift >= 1.5x their
     average, at least two gifts; largest last gift first."""
     latest = summary.agg(F.max("LastGiftDate")).scalar()
-    cutoff = add_days(latest, -params.upgrade_recent_days)
-    return (summary.filter((F.col("LastGiftDate") >= cutoff)
+    cutoff = F.col("__cut")
+    return (summary.withColumn("__cut", add_days(latest, -params.upgrade_recent_days)).filter((F.col("LastGiftDate") >= cutoff)
                            & (F.col("LastAmount") >= F.lit(params.upgrade_multiplier) * F.col("AvgAmount"))
                            & (F.col("Frequency") >= params.upgrade_min_frequency))
             .orderBy(F.col("LastAmount").desc(), cols.donor_id)
@@ -84,7 +85,8 @@ def new_donors(summary: DataFrame, days: int = _A.new_donor_days, cols: ColumnMa
     """First gift within ``days`` of the newest first gift (not of the
     run date); newest first."""
     newest = summary.agg(F.max("FirstGiftDate")).scalar()
-    return (summary.filter(F.col("FirstGiftDate") >= add_days(newest, -days))
+    return (summary.withColumn("__cut", add_days(newest, -days))
+            .filter(F.col("FirstGiftDate") >= F.col("__cut"))
             .orderBy(F.col("FirstGiftDate").desc(), cols.donor_id)
             .select(*_list(summary, cols, LIST_COLUMNS[:9])))
 

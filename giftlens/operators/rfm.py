@@ -53,8 +53,10 @@ def rfm_metrics(df: DataFrame, cols: ColumnMap = _C, ref: Column | None = None)
         money_sum(a).alias("Monetary"),
         last_by(a, d, _seq(df, cols)).alias("LastAmount"),
         F.min(d).alias("FirstGiftDate"))
-    return agg.select(
-        cols.donor_id, elapsed_days(F.col("LastGiftDate"), ref).alias("Recency"),
+    # The scalar is bound once in its own projection; Catalyst does not
+    # inline a subquery into each of its uses.
+    return agg.withColumn("__ref", ref).select(
+        cols.donor_id, elapsed_days(F.col("LastGiftDate"), F.col("__ref")).alias("Recency"),
         "Frequency", "Monetary", "LastAmount", "FirstGiftDate", "LastGiftDate")
 
 
@@ -76,11 +78,12 @@ def rfm_scores(rfm: DataFrame, quantiles=_A.rfm_quantiles, exact: bool = True) -
         quantile(-F.col("Recency"), qs, exact).alias("r"),
         quantile(F.col("Frequency"), qs, exact).alias("f"),
         quantile(F.col("Monetary"), qs, exact).alias("m"))).scalar()
-    out = rfm.withColumns({
-        "R_score": quintile_score(-F.col("Recency"), edges["r"], len(qs)),
-        "F_score": quintile_score(F.col("Frequency"), edges["f"], len(qs)),
-        "M_score": quintile_score(F.col("Monetary"), edges["m"], len(qs)),
-    })
+    e = F.col("__edges")
+    out = rfm.withColumn("__edges", edges).withColumns({
+        "R_score": quintile_score(-F.col("Recency"), e["r"], len(qs)),
+        "F_score": quintile_score(F.col("Frequency"), e["f"], len(qs)),
+        "M_score": quintile_score(F.col("Monetary"), e["m"], len(qs)),
+    }).drop("__edges")
     return out.withColumn("RFM_Score", F.col("R_score") + F.col("F_score") + F.col("M_score"))
 
 

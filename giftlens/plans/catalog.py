@@ -15,7 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from giftlens.config import AnalysisParams, ColumnMap
-from giftlens.operators import cleaning, donors, quality, reports, rfm
+from pyspark.sql import functions as F
+
+from giftlens.operators import cleaning, donors, panel, quality, reports, rfm
 from giftlens.sources import fixtures
 
 C = ColumnMap()
@@ -42,9 +44,17 @@ def queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-def clean_gifts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gifts after stage-2 preprocessing (all years)."""
-    return cleaning.preprocess(fixtures.gifts(spark, sf_dir), C)
+GIFT_CORE = ("ReceiptSeq", "ID", "Date", "Amount")
+
+
+def clean_gifts(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
+    """Gifts after stage-2 preprocessing (all years), optionally only the
+    named input columns (reads and joins nothing else)."""
+    return cleaning.preprocess(fixtures.gifts(spark, sf_dir, columns), C)
+
+
+def core_gifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_gifts(spark, sf_dir, GIFT_CORE)
 
 
 def typed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,22 +65,22 @@ def typed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("trend_year")
 def q_trend_year(spark, sf_dir):
-    return reports.trend_year(clean_gifts(spark, sf_dir), C)
+    return reports.trend_year(core_gifts(spark, sf_dir), C)
 
 
 @register("trend_year_major")
 def q_trend_year_major(spark, sf_dir):
-    return reports.trend_year_major(clean_gifts(spark, sf_dir), MAJOR, C)
+    return reports.trend_year_major(core_gifts(spark, sf_dir), MAJOR, C)
 
 
 @register("trend_month")
 def q_trend_month(spark, sf_dir):
-    return reports.trend_month(clean_gifts(spark, sf_dir), C)
+    return reports.trend_month(core_gifts(spark, sf_dir), C)
 
 
 def _dist(col):
     def q(spark, sf_dir):
-        return reports.distribution(clean_gifts(spark, sf_dir), col, 50, C)
+        return reports.distribution(clean_gifts(spark, sf_dir, GIFT_CORE + (col,)), col, 50, C)
     return q
 
 
@@ -81,22 +91,22 @@ for _key, _col in (("dist_gender", C.gender), ("dist_occupation", C.occupation_d
 
 @register("appeal_performance")
 def q_appeal_performance(spark, sf_dir):
-    return reports.appeal_performance(clean_gifts(spark, sf_dir), C)
+    return reports.appeal_performance(clean_gifts(spark, sf_dir, GIFT_CORE + ("Appeal",)), C)
 
 
 @register("fund_performance")
 def q_fund_performance(spark, sf_dir):
-    return reports.fund_performance(clean_gifts(spark, sf_dir), C)
+    return reports.fund_performance(clean_gifts(spark, sf_dir, GIFT_CORE + ("Fund",)), C)
 
 
 @register("relationship_summary")
 def q_relationship_summary(spark, sf_dir):
-    return reports.relationship_summary(clean_gifts(spark, sf_dir), C)
+    return reports.relationship_summary(clean_gifts(spark, sf_dir, GIFT_CORE + tuple(C.relationship)), C)
 
 
 @register("relationship_trend")
 def q_relationship_trend(spark, sf_dir):
-    return reports.relationship_trend(clean_gifts(spark, sf_dir), C)
+    return reports.relationship_trend(clean_gifts(spark, sf_dir, GIFT_CORE + tuple(C.relationship)), C)
 
 
 # -- cleaning and quality ----------------------------------------------------
@@ -158,7 +168,7 @@ def q_flag_anomalies(spark, sf_dir):
 
 @register("year_slice")
 def q_year_slice(spark, sf_dir):
-    return cleaning.year_slice(clean_gifts(spark, sf_dir), YEAR_CUTOFF).select(
+    return cleaning.year_slice(core_gifts(spark, sf_dir), YEAR_CUTOFF).select(
         "ReceiptSeq", "ID", "Year", "Amount")
 
 
@@ -190,7 +200,7 @@ def q_quality_flags(spark, sf_dir):
 # -- RFM and donor lists -----------------------------------------------------
 
 def _rfm(spark, sf_dir):
-    return rfm.rfm_table(clean_gifts(spark, sf_dir), C, FIXTURE_PARAMS)
+    return rfm.rfm_table(core_gifts(spark, sf_dir), C, FIXTURE_PARAMS)
 
 
 @register("rfm_table")
@@ -220,7 +230,7 @@ def q_lapsed_targets(spark, sf_dir):
 
 
 def _summary(spark, sf_dir):
-    return donors.donor_summary(clean_gifts(spark, sf_dir), C)
+    return donors.donor_summary(core_gifts(spark, sf_dir), C)
 
 
 @register("donor_summary")
@@ -250,4 +260,71 @@ def q_new_donors_90d(spark, sf_dir):
 
 @register("donor_spine")
 def q_donor_spine(spark, sf_dir):
-    return donors.donor_spine(clean_gifts(spark, sf_dir), C)
+    return donors.donor_spine(core_gifts(spark, sf_dir), C)
+
+
+# -- panels --------------------------------------------------------------------
+
+PANEL_INPUT = GIFT_CORE + tuple(C.demographics)
+
+
+def panel_gifts(spark, sf_dir, extra=()):
+    return clean_gifts(spark, sf_dir, PANEL_INPUT + tuple(extra))
+
+
+@register("panel_cutoffs")
+def q_panel_cutoffs(spark, sf_dir):
+    return panel.panel_cutoffs(core_gifts(spark, sf_dir), "redonate", C, FIXTURE_PARAMS)
+
+
+@register("donor_demographics")
+def q_donor_demographics(spark, sf_dir):
+    return panel.donor_demographics(panel_gifts(spark, sf_dir), C)
+
+
+@register("donor_features_asof")
+def q_donor_features_asof(spark, sf_dir):
+    g = panel_gifts(spark, sf_dir)
+    return panel.donor_features_asof(g, F.lit(_dt.datetime(1999, 6, 30)).cast("timestamp_ntz"), C)
+
+
+@register("panel_redonate")
+def q_panel_redonate(spark, sf_dir):
+    return panel.build_panel(panel_gifts(spark, sf_dir), "redonate", C, FIXTURE_PARAMS)
+
+
+@register("asof_features")
+def q_asof_features(spark, sf_dir):
+    return q_panel_redonate(spark, sf_dir).drop("ReDonate")
+
+
+@register("panel_major")
+def q_panel_major(spark, sf_dir):
+    return panel.build_panel(panel_gifts(spark, sf_dir), "major", C, FIXTURE_PARAMS)
+
+
+@register("panel_time")
+def q_panel_time(spark, sf_dir):
+    return panel.build_panel(panel_gifts(spark, sf_dir), "time", C, FIXTURE_PARAMS)
+
+
+@register("panel_preference")
+def q_panel_preference(spark, sf_dir):
+    return panel.build_panel(panel_gifts(spark, sf_dir, ("Fund",)), "preference", C, FIXTURE_PARAMS)
+
+
+@register("amount_dataset")
+def q_amount_dataset(spark, sf_dir):
+    return panel.amount_dataset(panel_gifts(spark, sf_dir), C, FIXTURE_PARAMS)
+
+
+@register("panel_summary")
+def q_panel_summary(spark, sf_dir):
+    parts = [panel.panel_summary(q_panel_redonate(spark, sf_dir), "ReDonate", "redonate"),
+             panel.panel_summary(q_panel_major(spark, sf_dir), "MajorGift", "major"),
+             panel.panel_summary(q_panel_time(spark, sf_dir), "DaysToNext", "time"),
+             panel.panel_summary(q_panel_preference(spark, sf_dir), "TargetCategory", "preference")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -326,3 +326,120 @@ WITH s AS ({SUMMARY})
 SELECT ID, Recency, Frequency, Monetary, AvgAmount, LastAmount, LastGiftDate, FirstGiftDate, Gifts12, Amt12
 FROM s WHERE FirstGiftDate >= (SELECT MAX(FirstGiftDate) FROM s) - INTERVAL 90 DAY"""
 ORACLE["donor_spine"] = f"WITH {CLEAN} SELECT DISTINCT ID FROM clean"
+
+# -- panels (naive range-join statement: one join per cutoff condition) ------------
+
+DEMO = ("Gender", "OccupDesc", "ReligionCode", "State", "Education", "CurrentParent",
+        "PastParent", "PastStudent")
+_DEMO_PACK = "{" + ", ".join(f"'{c}': {c}" for c in DEMO) + "}"
+_DEMO_SEL = ", ".join(f"demo.x.{c} AS {c}" for c in DEMO)
+_KEY = "{'d': Date, 's': ReceiptSeq}"
+
+
+def _range(kind: str) -> str:
+    if kind in ("redonate", "major"):
+        return "mn + INTERVAL 365 DAY AS start, mx - INTERVAL 365 DAY AS stop"
+    start = ("CASE WHEN TIMESTAMP '1996-01-01 00:00:00' < mn THEN mn + INTERVAL 365 DAY "
+             "ELSE TIMESTAMP '1996-01-01 00:00:00' END AS start")
+    stop = "mx - INTERVAL 7 DAY AS stop" if kind == "time" else "mx - INTERVAL 365 DAY AS stop"
+    return f"{start}, {stop}"
+
+
+def _panel_base(kind: str) -> str:
+    return f"""
+WITH {CLEAN},
+bounds AS (SELECT MIN(Date) AS mn, MAX(Date) AS mx FROM clean),
+r AS (SELECT {_range(kind)} FROM bounds),
+cut0 AS (
+  SELECT i, CAST(last_day(CAST(date_trunc('quarter', start) AS DATE) + to_months(CAST(2 + 6 * i AS INTEGER)))
+                 AS TIMESTAMP) + (start - date_trunc('day', start)) AS CutoffDate, stop
+  FROM r, range(0, 400) t(i)
+),
+cuts AS (SELECT i, CutoffDate FROM cut0 WHERE CutoffDate <= stop),
+demo AS (SELECT ID, arg_max({_DEMO_PACK}, {_KEY}) AS x FROM clean GROUP BY ID),
+f AS (
+  SELECT g.ID, c.CutoffDate, {_days('MAX(g.Date)', 'c.CutoffDate')} AS Recency, COUNT(*) AS Frequency,
+    {money('g.Amount')} AS Monetary, {money('g.Amount')} / COUNT(*) AS AvgAmount,
+    arg_max(g.Amount, {{'d': g.Date, 's': g.ReceiptSeq}}) AS LastAmount
+  FROM clean g JOIN cuts c ON g.Date <= c.CutoffDate GROUP BY g.ID, c.CutoffDate
+),
+feat AS (
+  SELECT f.ID, Recency, Frequency, Monetary, AvgAmount, LastAmount, {_DEMO_SEL}, f.CutoffDate
+  FROM f LEFT JOIN demo ON demo.ID = f.ID
+)"""
+
+
+def _panel_flag(kind: str, name: str, extra: str) -> str:
+    return _panel_base(kind) + f""",
+lab AS (
+  SELECT DISTINCT g.ID, c.CutoffDate FROM clean g JOIN cuts c
+    ON g.Date > c.CutoffDate AND g.Date <= c.CutoffDate + INTERVAL 365 DAY {extra}
+)
+SELECT feat.*, CASE WHEN lab.ID IS NOT NULL THEN 1 ELSE 0 END AS {name}
+FROM feat LEFT JOIN lab ON lab.ID = feat.ID AND lab.CutoffDate = feat.CutoffDate"""
+
+
+PANEL_REDONATE = _panel_flag("redonate", "ReDonate", "")
+PANEL_MAJOR = _panel_flag("major", "MajorGift", "AND g.Amount >= 450000")
+PANEL_TIME = _panel_base("time") + f""",
+nx AS (
+  SELECT g.ID, c.CutoffDate, {_days('c.CutoffDate', 'MIN(g.Date)')} AS DaysToNext
+  FROM clean g JOIN cuts c ON g.Date > c.CutoffDate GROUP BY g.ID, c.CutoffDate
+)
+SELECT feat.*, nx.DaysToNext FROM feat JOIN nx ON nx.ID = feat.ID AND nx.CutoffDate = feat.CutoffDate
+WHERE nx.DaysToNext > 0"""
+PANEL_PREFERENCE = _panel_base("preference") + """,
+nt AS (
+  SELECT g.ID, c.CutoffDate, arg_min(g.Fund, {'d': g.Date, 's': g.ReceiptSeq}) AS TargetCategory
+  FROM clean g JOIN cuts c ON g.Date > c.CutoffDate AND g.Date <= c.CutoffDate + INTERVAL 365 DAY
+  WHERE g.Fund IS NOT NULL GROUP BY g.ID, c.CutoffDate
+)
+SELECT feat.*, nt.TargetCategory FROM feat JOIN nt ON nt.ID = feat.ID AND nt.CutoffDate = feat.CutoffDate"""
+
+ORACLE["panel_redonate"] = PANEL_REDONATE
+ORACLE["asof_features"] = f"SELECT * EXCLUDE (ReDonate) FROM ({PANEL_REDONATE})"
+ORACLE["panel_major"] = PANEL_MAJOR
+ORACLE["panel_time"] = PANEL_TIME
+ORACLE["panel_preference"] = PANEL_PREFERENCE
+ORACLE["panel_cutoffs"] = _panel_base("redonate") + "\nSELECT i, CutoffDate FROM cuts"
+ORACLE["donor_demographics"] = f"WITH {CLEAN}, demo AS (SELECT ID, arg_max({_DEMO_PACK}, {_KEY}) AS x FROM clean GROUP BY ID) SELECT ID, {_DEMO_SEL} FROM demo"
+ORACLE["donor_features_asof"] = f"""
+WITH {CLEAN},
+demo AS (SELECT ID, arg_max({_DEMO_PACK}, {_KEY}) AS x FROM clean GROUP BY ID),
+f AS (
+  SELECT ID, {_days('MAX(Date)', "TIMESTAMP '1999-06-30 00:00:00'")} AS Recency, COUNT(*) AS Frequency,
+    {money()} AS Monetary, {money()} / COUNT(*) AS AvgAmount, arg_max(Amount, {_KEY}) AS LastAmount
+  FROM clean WHERE Date <= TIMESTAMP '1999-06-30 00:00:00' GROUP BY ID
+)
+SELECT f.*, {_DEMO_SEL} FROM f LEFT JOIN demo ON demo.ID = f.ID"""
+ORACLE["amount_dataset"] = f"""
+WITH {CLEAN},
+c AS (SELECT MAX(Date) - INTERVAL 365 DAY AS cut FROM clean),
+demo AS (SELECT ID, arg_max({_DEMO_PACK}, {_KEY}) AS x FROM clean GROUP BY ID),
+f AS (
+  SELECT ID, {_days('MAX(Date)', 'any_value(c.cut)')} AS Recency, COUNT(*) AS Frequency,
+    {money()} AS Monetary, {money()} / COUNT(*) AS AvgAmount, arg_max(Amount, {_KEY}) AS LastAmount
+  FROM clean, c WHERE Date <= c.cut GROUP BY ID
+),
+t AS (SELECT ID, round(quantile_cont(Amount, 0.5), 6) AS FutureMedianAmount FROM clean, c WHERE Date > c.cut GROUP BY ID)
+SELECT f.*, {_DEMO_SEL}, t.FutureMedianAmount FROM f JOIN t ON t.ID = f.ID LEFT JOIN demo ON demo.ID = f.ID"""
+
+
+def _summary(src: str, label: str, name: str, numeric: bool = True) -> str:
+    if numeric:
+        pos = f"COUNT(*) FILTER (WHERE CAST({label} AS DOUBLE) > 0)"
+        med = f"round(quantile_cont(CAST({label} AS DOUBLE), 0.5), 6)"
+    else:
+        pos, med = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
+    return f"""
+SELECT '{name}' AS dataset, COUNT(*) AS observations, COUNT(DISTINCT CutoffDate) AS cutoffs,
+  COUNT(DISTINCT {label}) AS classes, {pos} AS positives, {pos} / COUNT(*) AS positive_rate,
+  {med} AS median_label
+FROM ({src})"""
+
+
+ORACLE["panel_summary"] = " UNION ALL ".join([
+    _summary(PANEL_REDONATE, "ReDonate", "redonate"),
+    _summary(PANEL_MAJOR, "MajorGift", "major"),
+    _summary(PANEL_TIME, "DaysToNext", "time"),
+    _summary(PANEL_PREFERENCE, "TargetCategory", "preference", numeric=False)])
