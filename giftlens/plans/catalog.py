@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from giftlens.config import AnalysisParams, ColumnMap
 from pyspark.sql import functions as F
 
-from giftlens.operators import cleaning, donors, panel, quality, reports, rfm
+from giftlens.operators import cleaning, donors, metrics, panel, playbook, quality, reports, rfm, splits
 from giftlens.sources import fixtures
 
 C = ColumnMap()
@@ -328,3 +328,92 @@ def q_panel_summary(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# -- splits, weights, metrics on given tables --------------------------------------
+
+@register("split_time")
+def q_split_time(spark, sf_dir):
+    p = q_panel_time(spark, sf_dir)
+    return splits.time_split(p).select("ID", "CutoffDate", "split")
+
+
+@register("split_random")
+def q_split_random(spark, sf_dir):
+    a = q_amount_dataset(spark, sf_dir)
+    return splits.random_split(a, 0.25, 42, key_cols=["ID"]).select("ID", "split")
+
+
+@register("class_weights")
+def q_class_weights(spark, sf_dir):
+    return splits.class_weights(q_panel_preference(spark, sf_dir), "TargetCategory")
+
+
+@register("classification_metrics")
+def q_classification_metrics(spark, sf_dir):
+    return metrics.classification_metrics(fixtures.predictions(spark, sf_dir), model="given")
+
+
+@register("multiclass_metrics")
+def q_multiclass_metrics(spark, sf_dir):
+    return metrics.multiclass_metrics(fixtures.class_pairs(spark, sf_dir), model="given", target="flag")
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    return metrics.regression_metrics(fixtures.regression_pairs(spark, sf_dir))
+
+
+@register("residual_quantiles")
+def q_residual_quantiles(spark, sf_dir):
+    return metrics.residual_quantiles(fixtures.day_residual_pairs(spark, sf_dir))
+
+
+# -- scoring on given per-donor scores ------------------------------------------------
+
+def given_scores(spark, sf_dir):
+    """Per-donor scores derived from the gifts (stand-ins for model
+    outputs): amount, days to next gift (null for one-gift donors), top-1
+    probability."""
+    from giftlens.functions.agg import money_avg
+    from giftlens.functions.expr import elapsed_days
+    g = core_gifts(spark, sf_dir)
+    t = g.groupBy("ID").agg(money_avg(F.col("Amount")).alias("avg_amt"), F.count(F.lit(1)).alias("n"),
+                            F.min("Date").alias("mn"), F.max("Date").alias("mx"))
+    return t.select(
+        "ID", (F.col("avg_amt") / 250.0).alias("pred_amount"),
+        F.when(F.col("n") > 1, elapsed_days(F.col("mn"), F.col("mx")).cast("double")
+               / (F.col("n") - 1).cast("double")).alias("pred_days_to_next"),
+        ((F.col("ID").cast("long") * 37) % 101).cast("double").__truediv__(F.lit(100.0)).alias("top1_prob"))
+
+
+@register("priority_score")
+def q_priority_score(spark, sf_dir):
+    return playbook.priority_score(given_scores(spark, sf_dir)).select("ID", "priority_score")
+
+
+@register("action_bucket")
+def q_action_bucket(spark, sf_dir):
+    return playbook.priority_score(given_scores(spark, sf_dir)).select("ID", "action_bucket")
+
+
+FUND_CLASSES = [f"F{i}" for i in range(6)]
+
+
+@register("top3_preference")
+def q_top3_preference(spark, sf_dir):
+    g = clean_gifts(spark, sf_dir, GIFT_CORE + ("Fund",))
+    counts = g.groupBy("ID").pivot("Fund", FUND_CLASSES).agg(F.count(F.lit(1)))
+    tot = sum(F.coalesce(F.col(c), F.lit(0)) for c in FUND_CLASSES)
+    probs = counts.select("ID", F.array(*[F.coalesce(F.col(c), F.lit(0)).cast("double") / tot
+                                          for c in FUND_CLASSES]).alias("prob"))
+    return playbook.top_k_classes(probs, "prob", FUND_CLASSES, "fund", 3).drop("prob")
+
+
+@register("next_date_bands")
+def q_next_date_bands(spark, sf_dir):
+    g = core_gifts(spark, sf_dir)
+    res = metrics.residual_quantiles(fixtures.day_residual_pairs(spark, sf_dir))
+    cut = g.agg(F.max("Date")).scalar()
+    s = given_scores(spark, sf_dir).select("ID", "pred_days_to_next")
+    return playbook.next_date_bands(s, cut, res)

@@ -443,3 +443,124 @@ ORACLE["panel_summary"] = " UNION ALL ".join([
     _summary(PANEL_MAJOR, "MajorGift", "major"),
     _summary(PANEL_TIME, "DaysToNext", "time"),
     _summary(PANEL_PREFERENCE, "TargetCategory", "preference", numeric=False)])
+
+# -- splits, weights, metrics ---------------------------------------------------------
+
+ORACLE["split_time"] = f"""
+WITH p AS ({PANEL_TIME}),
+q AS (SELECT quantile_cont(CAST(epoch_us(CutoffDate) AS DOUBLE), 0.8) AS q FROM p)
+SELECT ID, CutoffDate, CASE WHEN CAST(epoch_us(CutoffDate) AS DOUBLE) <= q.q THEN 'train' ELSE 'test' END AS split
+FROM p, q"""
+ORACLE["class_weights"] = f"""
+WITH p AS ({PANEL_PREFERENCE}), c AS (SELECT TargetCategory, COUNT(*) AS count FROM p GROUP BY TargetCategory)
+SELECT TargetCategory, count, CAST(SUM(count) OVER () AS DOUBLE) / (COUNT(*) OVER () * count) AS weight FROM c"""
+
+PRED = """
+pred AS (SELECT doc_id, quality AS label, toxic AS prediction,
+               CAST((doc_id * 37) % 101 AS DOUBLE) / 100 AS probability FROM labels)"""
+
+
+def _per_class(src: str) -> str:
+    return f"""
+pairs AS (SELECT CAST(label AS VARCHAR) AS y, CAST(prediction AS VARCHAR) AS p, COUNT(*) AS n FROM {src} GROUP BY 1, 2),
+cls AS (SELECT y AS c FROM pairs UNION SELECT p FROM pairs),
+pc AS (
+  SELECT c, COALESCE((SELECT SUM(n) FROM pairs WHERE y = c), 0) AS support,
+    COALESCE((SELECT SUM(n) FROM pairs WHERE p = c), 0) AS pred,
+    COALESCE((SELECT SUM(n) FROM pairs WHERE y = c AND p = c), 0) AS tp
+  FROM cls
+),
+m AS (
+  SELECT *, CASE WHEN pred > 0 THEN tp / pred ELSE 0.0 END AS prec,
+    CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS rec FROM pc
+),
+m2 AS (SELECT *, CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END AS f1 FROM m)"""
+
+
+ORACLE["classification_metrics"] = f"""
+WITH {PRED}, {_per_class('pred')},
+s AS (SELECT probability AS s, COUNT(*) FILTER (WHERE label = 1) AS pos, COUNT(*) FILTER (WHERE label <> 1) AS neg
+      FROM pred GROUP BY probability),
+a AS (
+  SELECT SUM(pos * ((SELECT COALESCE(SUM(neg), 0) FROM s s2 WHERE s2.s < s.s) + neg * 0.5)) AS num,
+    SUM(pos) AS P, SUM(neg) AS N FROM s
+)
+SELECT 'given' AS model, CASE WHEN P > 0 AND N > 0 THEN round(num / (P * N), 9) END AS auc,
+  round(SUM(prec * support) / SUM(support), 9) AS precision, round(SUM(rec * support) / SUM(support), 9) AS recall,
+  round(SUM(f1 * support) / SUM(support), 9) AS f1, SUM(support) AS support
+FROM m2, a GROUP BY P, N, num"""
+
+CLASS_PAIRS = """
+cp AS (SELECT l_returnflag AS label, CASE WHEN l_linestatus = 'F' THEN 'R' ELSE 'N' END AS prediction FROM lineitem)"""
+ORACLE["multiclass_metrics"] = f"""
+WITH {CLASS_PAIRS}, {_per_class('cp')}
+SELECT 'given' AS model, 'flag' AS target, round(AVG(f1), 9) AS macro_f1,
+  round(SUM(f1 * support) / SUM(support), 9) AS weighted_f1, round(SUM(tp) / SUM(support), 9) AS accuracy,
+  COUNT(*) FILTER (WHERE support > 0) AS n_classes
+FROM m2"""
+ORACLE["regression_metrics"] = """
+WITH r AS (SELECT l_extendedprice AS y, l_quantity * 1000 AS p FROM lineitem),
+mm AS (SELECT AVG(y) AS m FROM r)
+SELECT round(AVG(abs(y - p)), 6) AS MAE, round(1 - SUM((y - p) * (y - p)) / SUM((y - mm.m) * (y - mm.m)), 9) AS R2,
+  round(AVG(y), 6) AS mean_actual, round(AVG(p), 6) AS mean_predicted
+FROM r, mm"""
+RESID = """
+res AS (SELECT l_extendedprice / 1000.0 - l_quantity AS r FROM lineitem),
+rq AS (SELECT round(quantile_cont(r, 0.2), 6) AS residual_p20, round(quantile_cont(r, 0.5), 6) AS residual_median,
+              round(quantile_cont(r, 0.8), 6) AS residual_p80 FROM res)"""
+ORACLE["residual_quantiles"] = f"WITH {RESID} SELECT * FROM rq"
+
+GIVEN = f"""
+given AS (
+  SELECT ID, {money()} / COUNT(Amount) / 250.0 AS pred_amount,
+    CASE WHEN COUNT(*) > 1 THEN CAST({_days('MIN(Date)', 'MAX(Date)')} AS DOUBLE) / (COUNT(*) - 1) END
+      AS pred_days_to_next,
+    CAST((CAST(ID AS BIGINT) * 37) % 101 AS DOUBLE) / 100.0 AS top1_prob
+  FROM clean GROUP BY ID
+)"""
+SCORED = f"""
+WITH {CLEAN}, {GIVEN},
+b AS (SELECT MIN(COALESCE(pred_amount, 0.0)) AS alo, MAX(COALESCE(pred_amount, 0.0)) AS ahi,
+             MAX(pred_days_to_next) AS dmax FROM given),
+d AS (SELECT g.*, COALESCE(pred_days_to_next, b.dmax) AS dd, COALESCE(pred_amount, 0.0) AS aa FROM given g, b),
+b2 AS (SELECT MIN(dd) AS dlo, MAX(dd) AS dhi FROM d),
+n AS (
+  SELECT d.*,
+    CASE WHEN b.alo IS NULL THEN NULL WHEN b.ahi = b.alo THEN 0.5 ELSE (aa - b.alo) / (b.ahi - b.alo) END AS an,
+    CASE WHEN b2.dlo IS NULL THEN NULL WHEN b2.dhi = b2.dlo THEN 0.5 ELSE (dd - b2.dlo) / (b2.dhi - b2.dlo) END AS dn
+  FROM d, b, b2
+)
+SELECT ID, 0.0 + 0.4 * an + 0.4 * (1.0 - dn) + 0.2 * COALESCE(top1_prob, 0.0) AS priority_score,
+  CASE WHEN pred_amount >= 1000 AND pred_days_to_next <= 60 AND top1_prob >= 0.7 THEN 'VIP_target'
+       WHEN pred_amount >= 500 AND pred_days_to_next <= 120 THEN 'Upgrade_push'
+       WHEN pred_days_to_next > 180 THEN 'Reactivation' ELSE 'Nurture' END AS action_bucket
+FROM n"""
+ORACLE["priority_score"] = f"SELECT ID, priority_score FROM ({SCORED})"
+ORACLE["action_bucket"] = f"SELECT ID, action_bucket FROM ({SCORED})"
+ORACLE["top3_preference"] = f"""
+WITH {CLEAN},
+donors AS (SELECT ID, COUNT(*) AS tot FROM clean GROUP BY ID),
+funds AS (SELECT 'F' || CAST(i AS VARCHAR) AS c FROM range(0, 6) t(i)),
+cnt AS (SELECT ID, Fund, COUNT(*) AS n FROM clean GROUP BY ID, Fund),
+p AS (
+  SELECT d.ID, f.c, CAST(COALESCE(cnt.n, 0) AS DOUBLE) / d.tot AS prob
+  FROM donors d CROSS JOIN funds f LEFT JOIN cnt ON cnt.ID = d.ID AND cnt.Fund = f.c
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY prob DESC, c DESC) AS rn FROM p)
+SELECT ID,
+  MAX(CASE WHEN rn = 1 THEN c END) AS top1_fund, MAX(CASE WHEN rn = 1 THEN prob END) AS top1_prob,
+  MAX(CASE WHEN rn = 2 THEN c END) AS top2_fund, MAX(CASE WHEN rn = 2 THEN prob END) AS top2_prob,
+  MAX(CASE WHEN rn = 3 THEN c END) AS top3_fund, MAX(CASE WHEN rn = 3 THEN prob END) AS top3_prob
+FROM r WHERE rn <= 3 GROUP BY ID"""
+
+
+def _band(off: str) -> str:
+    return (f"CAST(cut.c + to_microseconds(CAST((pred_days_to_next + {off}) * 86400000000.0 AS BIGINT)) AS DATE)")
+
+
+ORACLE["next_date_bands"] = f"""
+WITH {CLEAN}, {GIVEN}, {RESID},
+cut AS (SELECT MAX(Date) AS c FROM clean)
+SELECT ID, pred_days_to_next, {_band('0.0')} AS pred_date_point, {_band('rq.residual_p20')} AS pred_date_p20,
+  {_band('rq.residual_median')} AS pred_date_p50, {_band('rq.residual_p80')} AS pred_date_p80
+FROM given, cut, rq"""

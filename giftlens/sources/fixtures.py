@@ -134,3 +134,17 @@ def regression_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_extendedprice").alias("actual"),
                      (F.col("l_quantity") * 1000).alias("predicted"))
+
+
+def class_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given multiclass (label, prediction) pairs."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_returnflag").alias("label"),
+                     F.when(F.col("l_linestatus") == "F", "R").otherwise("N").alias("prediction"))
+
+
+def day_residual_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given (actual, predicted) day counts for residual bands."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_extendedprice") / 1000.0).alias("actual"),
+                     F.col("l_quantity").alias("predicted"))
