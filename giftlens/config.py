@@ -97,13 +97,15 @@ class AnalysisParams:
 class ModelParams:
     lr_max_iter: int = 5000
     rf_n_estimators: int = 300
-    rf_max_depth: int = 30              # sklearn: unlimited; Spark caps at 30
+    rf_max_depth: int = 10              # sklearn grows unlimited depth; Spark caps at 30 and
+                                        # grows level-wise, so deep forests cost 2^depth work
     gbt_n_estimators: int = 300
     gbt_learning_rate: float = 0.05
     time_rf_n_estimators: int = 500
     amount_rf_n_estimators: int = 200
     preference_n_estimators: int = 400
     max_bins: int = 32
+    max_memory_mb: int = 1024           # nodes split per data pass (fewer passes)
     seed: int = 42
 
     def with_(self, **kw) -> "ModelParams":

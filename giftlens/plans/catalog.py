@@ -14,10 +14,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from giftlens.config import AnalysisParams, ColumnMap
+from giftlens.config import AnalysisParams, ColumnMap, ModelParams
+from giftlens.session import shared_dir
 from pyspark.sql import functions as F
 
-from giftlens.operators import cleaning, donors, metrics, panel, playbook, quality, reports, rfm, splits
+from giftlens.operators import (cleaning, donors, metrics, models, panel, playbook, quality,
+                                 reports, rfm, splits)
 from giftlens.sources import fixtures
 
 C = ColumnMap()
@@ -417,3 +419,96 @@ def q_next_date_bands(spark, sf_dir):
     cut = g.agg(F.max("Date")).scalar()
     s = given_scores(spark, sf_dir).select("ID", "pred_days_to_next")
     return playbook.next_date_bands(s, cut, res)
+
+
+# -- fitted models (rows-only checks) -------------------------------------------------
+
+# Tree budget for the registered model queries.  The library defaults
+# (ModelParams()) keep the reference's 300/500/200/400 trees; the check
+# harness runs every query on one machine, where each Spark tree level is
+# a job, so these queries fit smaller ensembles.  Row counts -- what a
+# rows-only check compares -- do not depend on ensemble size.
+FIXTURE_MODELS = ModelParams(rf_n_estimators=40, gbt_n_estimators=40, time_rf_n_estimators=40,
+                             amount_rf_n_estimators=40, preference_n_estimators=40)
+
+
+def _stable(df):
+    """Cut lineage before iterative training: a reliable checkpoint in the
+    shared folder (``spark.checkpoint.dir``), which survives executor
+    loss -- never a local checkpoint."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+@register("feature_matrix")
+def q_feature_matrix(spark, sf_dir):
+    return models.feature_matrix(q_panel_redonate(spark, sf_dir), C)
+
+
+def _propensity(spark, sf_dir, label, algorithms):
+    p = q_panel_redonate(spark, sf_dir) if label == "ReDonate" else q_panel_major(spark, sf_dir)
+    return models.train_propensity(_stable(p), label, C, FIXTURE_PARAMS, FIXTURE_MODELS, algorithms)
+
+
+@register("propensity_lr")
+def q_propensity_lr(spark, sf_dir):
+    return _propensity(spark, sf_dir, "ReDonate", ("LogisticRegression",)).comparison
+
+
+@register("propensity_rf")
+def q_propensity_rf(spark, sf_dir):
+    return _propensity(spark, sf_dir, "ReDonate", ("RandomForest",)).comparison
+
+
+@register("propensity_gbt")
+def q_propensity_gbt(spark, sf_dir):
+    return _propensity(spark, sf_dir, "ReDonate", ("GBT",)).comparison
+
+
+@register("propensity_model_comparison")
+def q_propensity_model_comparison(spark, sf_dir):
+    return _propensity(spark, sf_dir, "ReDonate", ("LogisticRegression", "RandomForest", "GBT")).comparison
+
+
+@register("major_gift_model_comparison")
+def q_major_gift_model_comparison(spark, sf_dir):
+    return _propensity(spark, sf_dir, "MajorGift", ("LogisticRegression", "RandomForest", "GBT")).comparison
+
+
+@register("field_importance")
+def q_field_importance(spark, sf_dir):
+    return _propensity(spark, sf_dir, "ReDonate", ("RandomForest",)).importance["RandomForest"]
+
+
+def _amount(spark, sf_dir):
+    return models.train_amount(_stable(q_amount_dataset(spark, sf_dir)), C, FIXTURE_PARAMS, FIXTURE_MODELS)
+
+
+def _time(spark, sf_dir):
+    return models.train_time(_stable(q_panel_time(spark, sf_dir)), C, FIXTURE_PARAMS, FIXTURE_MODELS)
+
+
+def _preference(spark, sf_dir):
+    return models.train_preference(_stable(q_panel_preference(spark, sf_dir)), "fund", C,
+                                   FIXTURE_PARAMS, FIXTURE_MODELS)
+
+
+@register("amount_model")
+def q_amount_model(spark, sf_dir):
+    return _amount(spark, sf_dir).metrics
+
+
+@register("time_model")
+def q_time_model(spark, sf_dir):
+    return _time(spark, sf_dir).metrics
+
+
+@register("preference_model")
+def q_preference_model(spark, sf_dir):
+    return _preference(spark, sf_dir).metrics
+
+
+@register("playbook")
+def q_playbook(spark, sf_dir):
+    return playbook.assemble_playbook(panel_gifts(spark, sf_dir, ("Fund",)), _amount(spark, sf_dir),
+                                      _time(spark, sf_dir), _preference(spark, sf_dir), C)
