@@ -512,3 +512,44 @@ def q_preference_model(spark, sf_dir):
 def q_playbook(spark, sf_dir):
     return playbook.assemble_playbook(panel_gifts(spark, sf_dir, ("Fund",)), _amount(spark, sf_dir),
                                       _time(spark, sf_dir), _preference(spark, sf_dir), C)
+
+
+# -- sources and sinks ---------------------------------------------------------------
+
+@register("ingest_csv")
+def q_ingest_csv(spark, sf_dir):
+    """Land the raw receipts as CSV in the shared folder and scan them
+    back as strings."""
+    from giftlens.session import scratch_path
+    from giftlens.sources.readers import read_gifts_csv, write_gifts_csv
+    path = scratch_path(spark, "ingest-csv")
+    write_gifts_csv(fixtures.dirty_gifts(spark, sf_dir), path)
+    return read_gifts_csv(spark, path)
+
+
+@register("extract_wide")
+def q_extract_wide(spark, sf_dir):
+    return fixtures.wide_extract(spark, sf_dir).drop("AppealKey", "FundKey")
+
+
+@register("metrics_flatten")
+def q_metrics_flatten(spark, sf_dir):
+    from giftlens.plans.outputs import flatten_metrics, write_metrics
+    from giftlens.session import scratch_path
+    base = scratch_path(spark, "metrics")
+    write_metrics({"classification": q_classification_metrics(spark, sf_dir),
+                   "multiclass": q_multiclass_metrics(spark, sf_dir),
+                   "regression": q_regression_metrics(spark, sf_dir)}, base)
+    return flatten_metrics(spark, base)
+
+
+MANIFEST_REPORTS = ("trend_year", "trend_year_major", "trend_month", "dist_gender", "dist_suburb",
+                    "appeal_performance", "fund_performance", "relationship_summary", "rfm_table",
+                    "lapsed_targets", "lapsed_12m", "upgrade_candidates", "new_donors_90d")
+
+
+@register("report_manifest")
+def q_report_manifest(spark, sf_dir):
+    from giftlens.plans.outputs import report_manifest
+    qs = queries()
+    return report_manifest({k: qs[k](spark, sf_dir) for k in MANIFEST_REPORTS})

@@ -564,3 +564,62 @@ cut AS (SELECT MAX(Date) AS c FROM clean)
 SELECT ID, pred_days_to_next, {_band('0.0')} AS pred_date_point, {_band('rq.residual_p20')} AS pred_date_p20,
   {_band('rq.residual_median')} AS pred_date_p50, {_band('rq.residual_p80')} AS pred_date_p80
 FROM given, cut, rq"""
+
+# -- sources and sinks ----------------------------------------------------------------
+
+ORACLE["ingest_csv"] = f"""
+WITH {NULLED}
+SELECT CAST(ReceiptSeq AS VARCHAR) AS ReceiptSeq, ID, Date, Amount, CurrentParent, Gender FROM nulled"""
+ORACLE["extract_wide"] = """
+SELECT o.o_orderkey AS ReceiptSeq, CAST(o.o_custkey AS VARCHAR) AS ID, o.o_orderdate AS Date,
+  o.o_orderpriority AS Appeal, CONCAT('F', CAST(o.o_orderkey % 6 AS VARCHAR)) AS Fund, o.o_totalprice AS Amount,
+  CASE c.c_custkey % 4 WHEN 0 THEN 'F' WHEN 1 THEN ' M ' WHEN 2 THEN '' END AS Gender,
+  CAST(c.c_custkey % 2 AS INT) AS CurrentParent,
+  CASE WHEN c.c_custkey % 16 >= 8 THEN 1 ELSE 0 END AS FutureParent,
+  CASE WHEN c.c_custkey % 4 >= 2 THEN 1 ELSE 0 END AS PastParent,
+  CASE WHEN c.c_custkey % 8 >= 4 THEN 1 ELSE 0 END AS PastStudent,
+  n.n_name AS Suburb, r.r_name AS State, o.o_orderstatus AS Education, c.c_mktsegment AS OccupDesc,
+  CONCAT('R', CAST(c.c_custkey % 7 AS VARCHAR)) AS ReligionCode,
+  n2.n_nationkey AS AppealCode, n2.n_name AS AppealDescription,
+  r2.r_regionkey AS FundCode, r2.r_name AS FundDescription
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN nation n2 ON o.o_orderkey % 27 = n2.n_nationkey
+LEFT JOIN region r2 ON o.o_orderkey % 6 = r2.r_regionkey"""
+
+_CM = ORACLE["classification_metrics"]
+_MM = ORACLE["multiclass_metrics"]
+_RM = ORACLE["regression_metrics"]
+ORACLE["metrics_flatten"] = f"""
+SELECT 'classification_metrics.json' AS source_file, accuracy, auc, f1, macro_f1, model, n_classes, precision,
+  recall, support, target, weighted_f1, MAE, R2, mean_actual, mean_predicted FROM (
+  SELECT model, auc, precision, recall, f1, support, CAST(NULL AS DOUBLE) AS accuracy,
+    CAST(NULL AS DOUBLE) AS macro_f1, CAST(NULL AS BIGINT) AS n_classes, CAST(NULL AS VARCHAR) AS target,
+    CAST(NULL AS DOUBLE) AS weighted_f1, CAST(NULL AS DOUBLE) AS MAE, CAST(NULL AS DOUBLE) AS R2,
+    CAST(NULL AS DOUBLE) AS mean_actual, CAST(NULL AS DOUBLE) AS mean_predicted FROM ({_CM}))
+UNION ALL
+SELECT 'multiclass_metrics.json', accuracy, NULL, NULL, macro_f1, model, n_classes, NULL, NULL, NULL, target,
+  weighted_f1, NULL, NULL, NULL, NULL FROM ({_MM})
+UNION ALL
+SELECT 'regression_metrics.json', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  MAE, R2, mean_actual, mean_predicted FROM ({_RM})"""
+
+_MANIFEST = ("trend_year", "trend_year_major", "trend_month", "dist_gender", "dist_suburb",
+             "appeal_performance", "fund_performance", "relationship_summary", "rfm_table",
+             "lapsed_targets", "lapsed_12m", "upgrade_candidates", "new_donors_90d")
+_PRIORITY = ("prospecting_playbook", "rfm_table", "lapsed_targets", "high_potential_sleeper",
+             "upgrade_candidates", "new_donors_90d", "dist_suburb", "relationship_summary",
+             "relationship_agegroup", "relationship_trend", "trend_year", "trend_year_major",
+             "trend_month", "dist_gender", "dist_agegroup", "dist_occupation", "dist_religion",
+             "appeal_performance", "fund_performance", "lapsed_12m", "propensity_model_comparison",
+             "major_gift_model_comparison")
+_ORDER = [n for n in _PRIORITY if n in _MANIFEST] + sorted(n for n in _MANIFEST if n not in _PRIORITY)
+_NCOLS = {"trend_year": 10, "trend_year_major": 10, "trend_month": 7, "dist_gender": 6, "dist_suburb": 6,
+          "appeal_performance": 6, "fund_performance": 6, "relationship_summary": 9, "rfm_table": 12,
+          "lapsed_targets": 5, "lapsed_12m": 12, "upgrade_candidates": 12, "new_donors_90d": 10}
+ORACLE["report_manifest"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS source, COUNT(*) AS rows, {_NCOLS[n]} AS cols, {i} AS position, "
+    f"format('{{:,}} rows x {_NCOLS[n]} cols', COUNT(*)) AS note FROM ({ORACLE[n]})"
+    for i, n in enumerate(_ORDER))
