@@ -553,3 +553,17 @@ def q_report_manifest(spark, sf_dir):
     from giftlens.plans.outputs import report_manifest
     qs = queries()
     return report_manifest({k: qs[k](spark, sf_dir) for k in MANIFEST_REPORTS})
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Streaming ingest of landed raw receipts into the cleaned table."""
+    from giftlens.session import scratch_path
+    from giftlens.sources.readers import write_gifts_csv
+    from giftlens.streaming.ingest import run_ingest
+    base = scratch_path(spark, "stream-ingest")
+    raw = fixtures.dirty_gifts(spark, sf_dir)
+    write_gifts_csv(raw, f"{base}/landing")
+    run_ingest(spark, f"{base}/landing", f"{base}/cleaned", f"{base}/_checkpoint", raw.columns, C)
+    return spark.read.parquet(f"{base}/cleaned").select(
+        "ReceiptSeq", "ID", "Date", "Amount", "CurrentParent", "Gender", "Year", "Month")

@@ -623,3 +623,10 @@ ORACLE["report_manifest"] = " UNION ALL ".join(
     f"SELECT '{n}' AS source, COUNT(*) AS rows, {_NCOLS[n]} AS cols, {i} AS position, "
     f"format('{{:,}} rows x {_NCOLS[n]} cols', COUNT(*)) AS note FROM ({ORACLE[n]})"
     for i, n in enumerate(_ORDER))
+
+ORACLE["stream_ingest"] = f"""
+WITH {TYPED}
+SELECT CAST(ReceiptSeq AS VARCHAR) AS ReceiptSeq, ID, Date, Amount,
+  CAST(trunc(COALESCE({_flag_value('CurrentParent')}, 0.0)) AS INTEGER) AS CurrentParent,
+  {_cat('Gender')}, CAST(year(Date) AS INTEGER) AS Year, strftime(Date, '%Y-%m') AS Month
+FROM typed WHERE Amount > 0"""
