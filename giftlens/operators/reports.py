@@ -145,3 +145,25 @@ def relationship_by_group(df: DataFrame, group_col: str = "AgeGroupAtDonation",
         "avg_amount_per_donation": safe_div(F.col("total_amount"), F.col("donation_count")),
         "avg_amount_per_donor": safe_div(F.col("total_amount"), F.col("donor_count")),
     })
+
+
+def attribute_distribution(gifts: DataFrame, attributes: DataFrame, group_col: str,
+                           top_n: int | None = _A.top_n_categories, cols: ColumnMap = _C) -> DataFrame:
+    """A4 when the category is a *donor* attribute held in its own table
+    (one row per donor): identical to ``distribution`` over the joined wide
+    frame, but gifts are first aggregated per donor (partial aggregation
+    map-side, so a donor with a third of all gifts becomes one row), and
+    only one row per donor is shuffled into the join."""
+    from giftlens.functions.agg import MONEY
+    per = gifts.groupBy(cols.donor_id).agg(
+        F.sum(F.col(cols.amount).cast(MONEY)).alias("__amt"), F.count(F.lit(1)).alias("__n"))
+    j = per.join(attributes.select(cols.donor_id, group_col), cols.donor_id, "left")
+    t = (j.filter(F.col(group_col).isNotNull()).groupBy(group_col)
+         .agg(F.sum("__amt").cast("double").alias("total_amount"),
+              F.count(F.lit(1)).alias("donors"), F.sum("__n").alias("donation_count"))
+         .withColumns({
+             "avg_amount_per_donation": safe_div(F.col("total_amount"), F.col("donation_count")),
+             "avg_amount_per_donor": safe_div(F.col("total_amount"), F.col("donors")),
+         }))
+    t = t.orderBy(F.col("total_amount").desc(), F.col("donation_count").desc(), F.col(group_col).asc())
+    return t.limit(top_n) if top_n else t

@@ -82,7 +82,11 @@ def q_trend_month(spark, sf_dir):
 
 def _dist(col):
     def q(spark, sf_dir):
-        return reports.distribution(clean_gifts(spark, sf_dir, GIFT_CORE + (col,)), col, 50, C)
+        # Donor attributes live in their own table: aggregate gifts per donor
+        # first, then join one row per donor (same result as grouping the
+        # wide extract).
+        attrs = cleaning.normalize_categoricals(fixtures.donor_attributes(spark, sf_dir), C)
+        return reports.attribute_distribution(core_gifts(spark, sf_dir), attrs, col, 50, C)
     return q
 
 
