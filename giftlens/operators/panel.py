@@ -117,8 +117,29 @@ def panel_cutoffs(df: DataFrame, kind: str = "redonate", cols: ColumnMap = _C,
 
 # -- demographics --------------------------------------------------------------
 
-def _demo_cols(df: DataFrame, cols: ColumnMap) -> list[str]:
-    return [c for c in cols.demographics if c in df.columns]
+def _demo_cols(df: DataFrame, cols: ColumnMap, attributes: DataFrame | None = None) -> list[str]:
+    """Demographics carried by the gift rows themselves (latest row wins)."""
+    held = set(attributes.columns) - {cols.donor_id} if attributes is not None else set()
+    return [c for c in cols.demographics if c in df.columns and c not in held]
+
+
+def _attach_attributes(result: DataFrame, attributes: DataFrame | None, cols: ColumnMap,
+                       order: list[str]) -> DataFrame:
+    """Join donor-table attributes (one row per donor) onto an already
+    aggregated result, then restore the column order.  Joining after the
+    aggregation shuffles one row per donor (or donor x cutoff), never
+    the raw gifts."""
+    if attributes is None:
+        return result
+    extra = [c for c in cols.demographics if c in attributes.columns and c != cols.donor_id]
+    if not extra:
+        return result
+    j = result.join(attributes.select(cols.donor_id, *extra), cols.donor_id, "left")
+    demo_order = [c for c in cols.demographics if c in j.columns]
+    head = [c for c in order if c not in cols.demographics and c not in ("CutoffDate",) + LABELS
+            and c != "FutureMedianAmount"]
+    tail = [c for c in order if c == "CutoffDate" or c in LABELS or c == "FutureMedianAmount"]
+    return j.select(*head, *demo_order, *tail)
 
 
 def donor_demographics(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
@@ -134,7 +155,7 @@ def donor_demographics(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
 # -- as-of features for one cutoff -----------------------------------------------
 
 def donor_features_asof(df: DataFrame, cutoff: Column, cols: ColumnMap = _C,
-                        demographics: bool = True) -> DataFrame:
+                        demographics: bool = True, attributes: DataFrame | None = None) -> DataFrame:
     """A13 (+J4): features of each donor with a gift at or before
     ``cutoff``; demographics are the latest over all data (reference
     parity), folded into the same aggregation."""
@@ -142,7 +163,7 @@ def donor_features_asof(df: DataFrame, cutoff: Column, cols: ColumnMap = _C,
     seq = F.col(cols.seq) if cols.seq in df.columns else None
     df = df.withColumn("__cut", cutoff)
     hist = d <= F.col("__cut")
-    demo = _demo_cols(df, cols) if demographics else []
+    demo = _demo_cols(df, cols, attributes) if demographics else []
     aggs = [F.count_if(hist).alias("Frequency"),
             F.sum(F.when(hist, a.cast(MONEY))).alias("__sum"),
             F.max(F.when(hist, d)).alias("__last"),
@@ -151,29 +172,40 @@ def donor_features_asof(df: DataFrame, cutoff: Column, cols: ColumnMap = _C,
     if demo:
         aggs.append(last_by(F.struct(*[F.col(c) for c in demo]), d, seq).alias("__demo"))
     t = df.groupBy(cols.donor_id).agg(*aggs).filter(F.col("Frequency") > 0)
-    return t.select(
+    out = t.select(
         cols.donor_id,
         elapsed_days(F.col("__last"), F.col("__cut")).alias("Recency"),
         "Frequency", F.col("__sum").cast("double").alias("Monetary"),
         F.try_divide(F.col("__sum").cast("double"), F.col("Frequency").cast("double")).alias("AvgAmount"),
         "LastAmount", *[F.col("__demo")[c].alias(c) for c in demo])
+    return _attach_attributes(out, attributes if demographics else None, cols, out.columns)
 
 
 # -- the panel ---------------------------------------------------------------------
 
 def build_panel(df: DataFrame, kind: str = "redonate", cols: ColumnMap = _C,
-                params: AnalysisParams = _A, target_col: str | None = None) -> DataFrame:
+                params: AnalysisParams = _A, target_col: str | None = None,
+                attributes: DataFrame | None = None) -> DataFrame:
     """Features as of every cutoff of panel ``kind`` plus its label.
 
     kind: ``redonate`` (ReDonate 0/1, left), ``major`` (MajorGift 0/1,
     left), ``time`` (DaysToNext > 0, inner), ``preference``
     (TargetCategory, inner; target = fund if any non-null, else appeal).
+
+    ``attributes``: optional donor table (one row per donor) holding some
+    demographics; they are joined onto the finished panel instead of onto
+    every gift, so the raw gifts are only ever shuffled pre-aggregated.
     """
+    out = _build_panel(df, kind, cols, params, target_col, attributes)
+    return _attach_attributes(out, attributes, cols, out.columns)
+
+
+def _build_panel(df, kind, cols, params, target_col, attributes):
     step = params.panel_step_months
     win = params.redonate_window_days
     d, a = F.col(cols.date), F.col(cols.amount)
     seq = F.col(cols.seq) if cols.seq in df.columns else F.lit(0).cast("long")
-    demo = _demo_cols(df, cols)
+    demo = _demo_cols(df, cols, attributes)
     if kind == "preference" and target_col is None:
         target_col = preference_target(df, cols)
 
@@ -259,7 +291,7 @@ def preference_target(df: DataFrame, cols: ColumnMap = _C) -> str:
 
 
 def amount_dataset(df: DataFrame, cols: ColumnMap = _C, params: AnalysisParams = _A,
-                   exact: bool = True) -> DataFrame:
+                   exact: bool = True, attributes: DataFrame | None = None) -> DataFrame:
     """J7 + A18: features as of ``max - window`` with the median of each
     donor's later gifts as the target (donors with both only).  One
     ``groupBy``: history features and the future median are conditional
@@ -269,7 +301,7 @@ def amount_dataset(df: DataFrame, cols: ColumnMap = _C, params: AnalysisParams =
     cutoff = add_days(df.agg(F.max(d)).scalar(), -params.redonate_window_days)
     g = df.withColumn("__cut", cutoff)
     hist = d <= F.col("__cut")
-    demo = _demo_cols(df, cols)
+    demo = _demo_cols(df, cols, attributes)
     key = F.struct(d.alias("d"), seq.alias("s"))
     aggs = [F.count_if(hist).alias("Frequency"),
             F.sum(F.when(hist, a.cast(MONEY))).alias("__sum"),
@@ -281,12 +313,13 @@ def amount_dataset(df: DataFrame, cols: ColumnMap = _C, params: AnalysisParams =
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in demo]), key).alias("__demo"))
     t = g.groupBy(cols.donor_id).agg(*aggs)
     t = t.filter((F.col("Frequency") > 0) & F.col("FutureMedianAmount").isNotNull())
-    return t.select(
+    out = t.select(
         cols.donor_id,
         elapsed_days(F.col("__last"), F.col("__cut")).alias("Recency"),
         "Frequency", F.col("__sum").cast("double").alias("Monetary"),
         F.try_divide(F.col("__sum").cast("double"), F.col("Frequency").cast("double")).alias("AvgAmount"),
         "LastAmount", *[F.col("__demo")[c].alias(c) for c in demo], "FutureMedianAmount")
+    return _attach_attributes(out, attributes, cols, out.columns)
 
 
 def panel_summary(panel: DataFrame, label: str, name: str | None = None) -> DataFrame:

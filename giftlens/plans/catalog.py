@@ -275,9 +275,21 @@ PANEL_INPUT = GIFT_CORE + tuple(C.demographics)
 
 
 def panel_gifts(spark, sf_dir, extra=()):
+    """The wide gift rows with every demographic (reference shape)."""
     return clean_gifts(spark, sf_dir, PANEL_INPUT + tuple(extra))
 
 
+def receipt_gifts(spark, sf_dir, extra=()):
+    """Receipt-level columns only (no joins); Education varies per gift."""
+    return clean_gifts(spark, sf_dir, GIFT_CORE + ("Education",) + tuple(extra))
+
+
+def donor_table(spark, sf_dir):
+    """Cleaned donor attributes, one row per donor."""
+    a = fixtures.donor_attributes(spark, sf_dir)
+    return cleaning.normalize_categoricals(cleaning.map_flags(a, C), C).drop("Suburb", "FutureParent")
+
+
 @register("panel_cutoffs")
 def q_panel_cutoffs(spark, sf_dir):
     return panel.panel_cutoffs(core_gifts(spark, sf_dir), "redonate", C, FIXTURE_PARAMS)
@@ -290,13 +302,15 @@ def q_donor_demographics(spark, sf_dir):
 
 @register("donor_features_asof")
 def q_donor_features_asof(spark, sf_dir):
-    g = panel_gifts(spark, sf_dir)
-    return panel.donor_features_asof(g, F.lit(_dt.datetime(1999, 6, 30)).cast("timestamp_ntz"), C)
+    g = receipt_gifts(spark, sf_dir)
+    return panel.donor_features_asof(g, F.lit(_dt.datetime(1999, 6, 30)).cast("timestamp_ntz"), C,
+                                     attributes=donor_table(spark, sf_dir))
 
 
 @register("panel_redonate")
 def q_panel_redonate(spark, sf_dir):
-    return panel.build_panel(panel_gifts(spark, sf_dir), "redonate", C, FIXTURE_PARAMS)
+    return panel.build_panel(receipt_gifts(spark, sf_dir), "redonate", C, FIXTURE_PARAMS,
+                             attributes=donor_table(spark, sf_dir))
 
 
 @register("asof_features")
@@ -306,22 +320,26 @@ def q_asof_features(spark, sf_dir):
 
 @register("panel_major")
 def q_panel_major(spark, sf_dir):
-    return panel.build_panel(panel_gifts(spark, sf_dir), "major", C, FIXTURE_PARAMS)
+    return panel.build_panel(receipt_gifts(spark, sf_dir), "major", C, FIXTURE_PARAMS,
+                             attributes=donor_table(spark, sf_dir))
 
 
 @register("panel_time")
 def q_panel_time(spark, sf_dir):
-    return panel.build_panel(panel_gifts(spark, sf_dir), "time", C, FIXTURE_PARAMS)
+    return panel.build_panel(receipt_gifts(spark, sf_dir), "time", C, FIXTURE_PARAMS,
+                             attributes=donor_table(spark, sf_dir))
 
 
 @register("panel_preference")
 def q_panel_preference(spark, sf_dir):
-    return panel.build_panel(panel_gifts(spark, sf_dir, ("Fund",)), "preference", C, FIXTURE_PARAMS)
+    return panel.build_panel(receipt_gifts(spark, sf_dir, ("Fund",)), "preference", C, FIXTURE_PARAMS,
+                             attributes=donor_table(spark, sf_dir))
 
 
 @register("amount_dataset")
 def q_amount_dataset(spark, sf_dir):
-    return panel.amount_dataset(panel_gifts(spark, sf_dir), C, FIXTURE_PARAMS)
+    return panel.amount_dataset(receipt_gifts(spark, sf_dir), C, FIXTURE_PARAMS,
+                                attributes=donor_table(spark, sf_dir))
 
 
 @register("panel_summary")

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from giftlens.sources.extract import extract_wide
+from giftlens.operators.joins import sized_broadcast
+from giftlens.sources.extract import LOOKUP_MAX_ROWS, extract_wide
 from giftlens.sources.tables import table
 
 GIFT_COLUMNS = ("ReceiptSeq", "ID", "Date", "Amount", "Appeal", "Fund",
@@ -40,9 +41,9 @@ def donor_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     k = F.col("c_custkey")
-    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left") \
+    geo = n.join(sized_broadcast(r, LOOKUP_MAX_ROWS), n.n_regionkey == r.r_regionkey, "left") \
         .select("n_nationkey", F.col("n_name").alias("Suburb"), F.col("r_name").alias("State"))
-    return c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left").select(
+    return c.join(sized_broadcast(geo, LOOKUP_MAX_ROWS), c.c_nationkey == geo.n_nationkey, "left").select(
         k.cast("string").alias("ID"),
         F.when(k % 4 == 0, "F").when(k % 4 == 1, " M ").when(k % 4 == 2, "").alias("Gender"),
         F.col("c_mktsegment").alias("OccupDesc"),
@@ -65,9 +66,10 @@ def fund_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("r_regionkey").alias("Code"), F.col("r_name").alias("Description"))
 
 
-def wide_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_extract(spark: SparkSession, sf_dir: str, appeals: bool = True, funds: bool = True) -> DataFrame:
     return extract_wide(receipts(spark, sf_dir), donor_attributes(spark, sf_dir),
-                        appeal_lookup(spark, sf_dir), fund_lookup(spark, sf_dir),
+                        appeal_lookup(spark, sf_dir) if appeals else None,
+                        fund_lookup(spark, sf_dir) if funds else None,
                         appeal_on="AppealKey", fund_on="FundKey")
 
 
@@ -84,7 +86,7 @@ def gifts(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
     cols = list(columns) if columns else list(GIFT_COLUMNS)
     if all(c in RECEIPT_ONLY for c in cols):
         return receipts(spark, sf_dir).select(*cols)
-    return wide_extract(spark, sf_dir).select(*cols)
+    return wide_extract(spark, sf_dir, "AppealDescription" in cols, "FundDescription" in cols).select(*cols)
 
 
 def dirty_gifts(spark: SparkSession, sf_dir: str) -> DataFrame:
