@@ -129,3 +129,9 @@ def month_start(ts: Column) -> Column:
 
 def month_label(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
+
+
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal parsed from text, so no session or process
+    time zone is involved."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from giftlens.config import AnalysisParams, ColumnMap
 from giftlens.functions.agg import MONEY, last_by, median, money_avg, money_sum
-from giftlens.functions.expr import add_days, elapsed_days
+from giftlens.functions.expr import add_days, elapsed_days, ntz_lit
 
 _C = ColumnMap()
 _A = AnalysisParams()
@@ -91,7 +91,7 @@ def _range_struct(df: DataFrame, kind: str, cols: ColumnMap, params: AnalysisPar
     if kind in ("redonate", "major"):
         start, end = add_days(mn, 365), add_days(mx, -win)
     else:
-        floor_start = F.lit(params.min_panel_start).cast("timestamp_ntz")
+        floor_start = ntz_lit(params.min_panel_start)
         start = F.when(floor_start < mn, add_days(mn, 365)).otherwise(floor_start)
         end = add_days(mx, -7) if kind == "time" else add_days(mx, -win)
     r = df.agg(start.alias("start"), end.alias("end"))

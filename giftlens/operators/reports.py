@@ -167,3 +167,21 @@ def attribute_distribution(gifts: DataFrame, attributes: DataFrame, group_col: s
          }))
     t = t.orderBy(F.col("total_amount").desc(), F.col("donation_count").desc(), F.col(group_col).asc())
     return t.limit(top_n) if top_n else t
+
+
+def attribute_relationship_trend(gifts: DataFrame, attributes: DataFrame, cols: ColumnMap = _C) -> DataFrame:
+    """A8 when the flags live in the donor table: gifts are aggregated per
+    (donor, year) first -- partial aggregation, one row per donor-year --
+    and only then joined to the flags; equal to ``relationship_trend`` on
+    the joined wide frame."""
+    from giftlens.functions.agg import MONEY
+    gifts = with_temporal(gifts, cols)
+    flags = [c for c in cols.relationship if c in attributes.columns]
+    per = (gifts.filter(F.col("Year").isNotNull()).groupBy(cols.donor_id, "Year")
+           .agg(F.sum(F.col(cols.amount).cast(MONEY)).alias("__amt"), F.count(F.lit(1)).alias("__n")))
+    j = per.join(attributes.select(cols.donor_id, *flags), cols.donor_id, "left").dropna(subset=flags)
+    t = j.groupBy("Year", *flags).agg(F.sum("__amt").cast("double").alias("total_amount"),
+                                      F.sum("__n").alias("donation_count"))
+    if len(flags) >= 4:
+        return t.orderBy(F.col("Year").desc(), _binary_key(flags).desc())
+    return t.orderBy(F.col("Year").desc())

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from giftlens.config import AnalysisParams, ColumnMap
 from giftlens.functions.agg import last_by, money_sum, quantile
-from giftlens.functions.expr import add_days, elapsed_days
+from giftlens.functions.expr import add_days, elapsed_days, ntz_lit
 
 _C = ColumnMap()
 _A = AnalysisParams()
@@ -34,7 +34,7 @@ def reference_date(df: DataFrame, cols: ColumnMap = _C,
                    configured: _dt.datetime | None = None) -> Column:
     """Configured date, else the latest gift + 1 day (a scalar subquery)."""
     if configured is not None:
-        return F.lit(configured).cast("timestamp_ntz")
+        return ntz_lit(configured)
     return add_days(df.agg(F.max(cols.date)).scalar(), 1)
 
 

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from giftlens.config import AnalysisParams, ColumnMap, ModelParams
+from giftlens.functions.expr import ntz_lit
 from giftlens.session import shared_dir
 from pyspark.sql import functions as F
 
@@ -112,7 +113,8 @@ def q_relationship_summary(spark, sf_dir):
 
 @register("relationship_trend")
 def q_relationship_trend(spark, sf_dir):
-    return reports.relationship_trend(clean_gifts(spark, sf_dir, GIFT_CORE + tuple(C.relationship)), C)
+    attrs = cleaning.map_flags(fixtures.donor_attributes(spark, sf_dir), C)
+    return reports.attribute_relationship_trend(core_gifts(spark, sf_dir), attrs, C)
 
 
 # -- cleaning and quality ----------------------------------------------------
@@ -303,7 +305,7 @@ def q_donor_demographics(spark, sf_dir):
 @register("donor_features_asof")
 def q_donor_features_asof(spark, sf_dir):
     g = receipt_gifts(spark, sf_dir)
-    return panel.donor_features_asof(g, F.lit(_dt.datetime(1999, 6, 30)).cast("timestamp_ntz"), C,
+    return panel.donor_features_asof(g, ntz_lit(_dt.datetime(1999, 6, 30)), C,
                                      attributes=donor_table(spark, sf_dir))
 
 
@@ -358,7 +360,9 @@ def q_panel_summary(spark, sf_dir):
 
 @register("split_time")
 def q_split_time(spark, sf_dir):
-    p = q_panel_time(spark, sf_dir)
+    # The split point is a quantile over the panel: checkpoint the panel so
+    # the quantile subquery and the output read it instead of rebuilding it.
+    p = _stable(q_panel_time(spark, sf_dir))
     return splits.time_split(p).select("ID", "CutoffDate", "split")
 
 
