@@ -185,3 +185,30 @@ def attribute_relationship_trend(gifts: DataFrame, attributes: DataFrame, cols:
     if len(flags) >= 4:
         return t.orderBy(F.col("Year").desc(), _binary_key(flags).desc())
     return t.orderBy(F.col("Year").desc())
+
+
+def attribute_relationship_summary(gifts: DataFrame, attributes: DataFrame, cols: ColumnMap = _C,
+                                   exact: bool = True) -> DataFrame:
+    """A7 when the flags live in the donor table.  Gifts are first reduced
+    to (donor, amount, count) -- recurring gifts of one amount collapse
+    map-side -- then joined to the flags; the median stays exact through
+    the frequency-weighted ``percentile``.  Null flag keys are kept."""
+    from giftlens.functions.agg import MONEY
+    flags = [c for c in cols.relationship if c in attributes.columns]
+    a = F.col(cols.amount)
+    per = gifts.groupBy(cols.donor_id, a.alias("__a")).agg(F.count(F.lit(1)).alias("__n"))
+    j = per.join(attributes.select(cols.donor_id, *flags), cols.donor_id, "left")
+    amt = F.col("__a")
+    total = F.sum(amt.cast(MONEY) * F.col("__n"))
+    med = (F.round(F.percentile(amt.cast("double"), F.lit(0.5), F.col("__n")), 6) if exact else
+           F.round(F.percentile_approx(amt.cast("double"), 0.5, 10000).cast("double"), 6))
+    t = j.groupBy(*flags).agg(
+        F.countDistinct(cols.donor_id).alias("donors"),
+        F.sum("__n").alias("donation_count"),
+        total.cast("double").alias("total_amount"),
+        F.try_divide(total.cast("double"), F.sum(F.when(amt.isNotNull(), F.col("__n"))).cast("double"))
+        .alias("avg_amount"),
+        med.alias("median_amount"))
+    if len(flags) >= 4:
+        return t.orderBy(_binary_key(flags).desc_nulls_last())
+    return t.orderBy(F.col("total_amount").desc())

@@ -108,7 +108,8 @@ def q_fund_performance(spark, sf_dir):
 
 @register("relationship_summary")
 def q_relationship_summary(spark, sf_dir):
-    return reports.relationship_summary(clean_gifts(spark, sf_dir, GIFT_CORE + tuple(C.relationship)), C)
+    attrs = cleaning.map_flags(fixtures.donor_attributes(spark, sf_dir), C)
+    return reports.attribute_relationship_summary(core_gifts(spark, sf_dir), attrs, C)
 
 
 @register("relationship_trend")
