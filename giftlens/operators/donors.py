@@ -97,4 +97,4 @@ def donor_spine(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
 
 
 __all__ = ["donor_summary", "lapsed_12m", "high_potential_sleeper", "upgrade_candidates",
-           "new_donors", "donor_spine", "elapsed_days"]
+           "new_donors", "donor_spine"]

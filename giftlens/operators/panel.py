@@ -22,13 +22,11 @@ Work is O(gifts + donors x cutoffs) with two shuffles on the donor key.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from giftlens.config import AnalysisParams, ColumnMap
-from giftlens.functions.agg import MONEY, last_by, median, money_avg, money_sum
+from giftlens.functions.agg import MONEY, last_by, median
 from giftlens.functions.expr import add_days, elapsed_days, ntz_lit
 
 _C = ColumnMap()
@@ -343,5 +341,4 @@ def panel_summary(panel: DataFrame, label: str, name: str | None = None) -> Data
 
 
 __all__ = ["build_panel", "panel_cutoffs", "donor_demographics", "donor_features_asof",
-           "amount_dataset", "panel_summary", "preference_target", "cutoff_at", "bucket_of",
-           "money_sum", "money_avg", "_dt"]
+           "amount_dataset", "panel_summary", "preference_target", "cutoff_at", "bucket_of"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from giftlens.config import ColumnMap
-from giftlens.functions.expr import elapsed_micros, flag_value
+from giftlens.functions.expr import elapsed_micros, strict_double
 
 _C = ColumnMap()
 DAYS_PER_YEAR = 365.25
@@ -48,7 +48,6 @@ def quality_dates(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
 
 def quality_flags(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
     """V5: per flag, numeric values outside {0, 1}; text counts as valid."""
-    from giftlens.functions.expr import strict_double
     flags = [c for c in cols.flags if c in df.columns]
     aggs = [F.count_if(strict_double(F.col(c)).isNotNull()
                        & ~strict_double(F.col(c)).isin(0.0, 1.0)).alias(c) for c in flags]
@@ -63,7 +62,6 @@ def validate(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
     require_columns(df, cols)
     a, d = F.col(cols.amount), F.col(cols.date)
     flags = [c for c in cols.flags if c in df.columns]
-    from giftlens.functions.expr import strict_double
     aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(a.isNull()).alias("amount_null"),
             F.count_if(a < 0).alias("amount_negative"), F.count_if(a == 0).alias("amount_zero"),
             F.count(d).alias("valid_dates"), F.min(d).alias("min_date"), F.max(d).alias("max_date")]
