@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# (session, canonical plan, bound) -> fits.  A plan's row count is checked
+# once per session; the same lookup rebuilt by another query reuses it.
+_CHECKED: dict[tuple[int, int, int], bool] = {}
+
 
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
@@ -13,5 +17,9 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     scans more than ``max_rows + 1`` rows.  Beyond the bound the frame is
     returned unhinted and AQE plans a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    fits = _CHECKED.get(key)
+    if fits is None:
+        fits = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = fits
+    return F.broadcast(df) if fits else df
