@@ -594,3 +594,8 @@ def q_stream_ingest(spark, sf_dir):
     run_ingest(spark, f"{base}/landing", f"{base}/cleaned", f"{base}/_checkpoint", raw.columns, C)
     return spark.read.parquet(f"{base}/cleaned").select(
         "ReceiptSeq", "ID", "Date", "Amount", "CurrentParent", "Gender", "Year", "Month")
+
+
+@register("quality_report")
+def q_quality_report(spark, sf_dir):
+    return quality.quality_report(typed_dirty(spark, sf_dir), C)

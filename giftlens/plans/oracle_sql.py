@@ -630,3 +630,23 @@ SELECT CAST(ReceiptSeq AS VARCHAR) AS ReceiptSeq, ID, Date, Amount,
   CAST(trunc(COALESCE({_flag_value('CurrentParent')}, 0.0)) AS INTEGER) AS CurrentParent,
   {_cat('Gender')}, CAST(year(Date) AS INTEGER) AS Year, strftime(Date, '%Y-%m') AS Month
 FROM typed WHERE Amount > 0"""
+
+ORACLE["quality_report"] = f"""
+WITH {TYPED},
+t AS (
+  SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE Amount IS NULL) AS amount_null,
+    COUNT(*) FILTER (WHERE Amount < 0) AS amount_negative, COUNT(*) FILTER (WHERE Amount = 0) AS amount_zero,
+    COUNT(Date) AS valid_dates,
+    floor((epoch_us(MAX(Date)) - epoch_us(MIN(Date))) / 86400000000.0) / 365.25 AS span,
+    COUNT(*) FILTER (WHERE {_num('CurrentParent')} IS NOT NULL AND {_num('CurrentParent')} NOT IN (0.0, 1.0))
+      AS flag_cp
+  FROM typed
+)
+SELECT 'rows' AS "check", CAST(NULL AS VARCHAR) AS "column", CAST(rows AS DOUBLE) AS value, 'ok' AS severity FROM t
+UNION ALL SELECT 'amount_null', 'Amount', amount_null, CASE WHEN amount_null > 0 THEN 'warning' ELSE 'ok' END FROM t
+UNION ALL SELECT 'amount_negative', 'Amount', amount_negative,
+  CASE WHEN amount_negative > 0 THEN 'warning' ELSE 'ok' END FROM t
+UNION ALL SELECT 'amount_zero', 'Amount', amount_zero, CASE WHEN amount_zero > 0 THEN 'warning' ELSE 'ok' END FROM t
+UNION ALL SELECT 'date_span_years', 'Date', span,
+  CASE WHEN span < 1 OR span > 50 THEN 'warning' ELSE 'ok' END FROM t
+UNION ALL SELECT 'flag_invalid', 'CurrentParent', flag_cp, CASE WHEN flag_cp > 0 THEN 'warning' ELSE 'ok' END FROM t"""

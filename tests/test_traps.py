@@ -161,3 +161,18 @@ def test_lists_use_summary_reference(spark):
     assert up == ["a"]
     nd = [r["ID"] for r in donors.new_donors(s).collect()]
     assert nd == ["b"]
+
+
+def test_quality_report_raises_on_empty_and_no_dates(spark):
+    from giftlens.operators import quality
+    empty = spark.createDataFrame([], "ReceiptSeq long, ID string, Date timestamp_ntz, Amount double")
+    with pytest.raises(Exception, match="empty"):
+        quality.quality_report(empty, C).collect()
+    nodate = spark.createDataFrame([(1, "a", None, 5.0)], "ReceiptSeq long, ID string, Date timestamp_ntz, Amount double")
+    with pytest.raises(Exception, match="No valid dates"):
+        quality.quality_report(nodate, C).collect()
+    ok = spark.createDataFrame([(1, "a", D(2020, 1, 1), -5.0), (2, "b", D(2022, 1, 1), 0.0)],
+                               "ReceiptSeq long, ID string, Date timestamp_ntz, Amount double")
+    r = {x["check"]: x for x in quality.validate(ok, C).collect()}
+    assert r["amount_negative"]["value"] == 1.0 and r["amount_zero"]["severity"] == "warning"
+    assert r["date_span_years"]["severity"] == "ok"
