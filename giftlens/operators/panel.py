@@ -22,6 +22,9 @@ Work is O(gifts + donors x cutoffs) with two shuffles on the donor key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -181,14 +184,15 @@ def donor_features_asof(df: DataFrame, cutoff: Column, cols: ColumnMap = _C,
 
 # -- the panel ---------------------------------------------------------------------
 
-def build_panel(df: DataFrame, kind: str = "redonate", cols: ColumnMap = _C,
+def build_panel(df: DataFrame, kind="redonate", cols: ColumnMap = _C,
                 params: AnalysisParams = _A, target_col: str | None = None,
                 attributes: DataFrame | None = None) -> DataFrame:
     """Features as of every cutoff of panel ``kind`` plus its label.
 
     kind: ``redonate`` (ReDonate 0/1, left), ``major`` (MajorGift 0/1,
     left), ``time`` (DaysToNext > 0, inner), ``preference``
-    (TargetCategory, inner; target = fund if any non-null, else appeal).
+    (TargetCategory, inner; target = fund if any non-null, else appeal),
+    or any :class:`Label`.
 
     ``attributes``: optional donor table (one row per donor) holding some
     demographics; they are joined onto the finished panel instead of onto
@@ -198,57 +202,128 @@ def build_panel(df: DataFrame, kind: str = "redonate", cols: ColumnMap = _C,
     return _attach_attributes(out, attributes, cols, out.columns)
 
 
+@dataclass(frozen=True)
+class BucketContext:
+    """What a label's per-bucket aggregate can use: the gift columns, the
+    (date, input order) key and the analysis parameters."""
+    date: Column
+    amount: Column
+    key: Column
+    params: AnalysisParams
+
+    def col(self, name: str) -> Column:
+        return F.col(name)
+
+
+@dataclass(frozen=True)
+class Label:
+    """A panel label as column expressions -- the reference's
+    ``label_func(df, cutoff)`` hook, re-expressed so that every cutoff is
+    labelled in the same pass.
+
+    ``per_bucket`` aggregates the gifts of one (donor, bucket); ``ahead``
+    combines the buckets after a cutoff (``"first"`` non-null in time
+    order, or ``"min"``); ``value(next, cutoff, horizon)`` turns that into
+    the label (null = no label).  ``keep="left"`` fills missing labels with
+    ``default``; ``keep="inner"`` drops those rows.  ``range`` picks the
+    cutoff range: ``"redonate"``/``"major"`` (first gift + 365 d to latest
+    - window), ``"time"`` (panel start to latest - 7 d) or
+    ``"preference"`` (panel start to latest - window).
+    """
+    name: str
+    per_bucket: Callable[[BucketContext], Column]
+    ahead: str
+    value: Callable[[Column, Column, Column], Column]
+    keep: str = "left"
+    default: object = 0
+    range: str = "redonate"
+
+
+def redonate_label() -> Label:
+    """Any gift in (cutoff, cutoff + window]."""
+    return Label("ReDonate", lambda x: F.min(x.date), "first",
+                 lambda nxt, cut, hz: F.when(nxt.isNotNull() & (nxt <= hz), 1).otherwise(0).cast("int"),
+                 "left", 0, "redonate")
+
+
+def major_label(threshold: float) -> Label:
+    """Any gift >= threshold in (cutoff, cutoff + window]."""
+    return Label("MajorGift", lambda x: F.min(F.when(x.amount >= F.lit(threshold), x.date)), "min",
+                 lambda nxt, cut, hz: F.when(nxt.isNotNull() & (nxt <= hz), 1).otherwise(0).cast("int"),
+                 "left", 0, "major")
+
+
+def days_to_next_label() -> Label:
+    """Whole days to the next gift (no window end), kept when > 0."""
+    def value(nxt, cut, hz):
+        days = elapsed_days(cut, nxt)
+        return F.when(days > 0, days)
+    return Label("DaysToNext", lambda x: F.min(x.date), "first", value, "inner", None, "time")
+
+
+def next_category_label(target_col: str) -> Label:
+    """fund/appeal of the first gift in the window with a value."""
+    def per_bucket(x):
+        t = F.col(target_col)
+        return F.min_by(F.struct(x.date.alias("d"), t.alias("t")), F.when(t.isNotNull(), x.key))
+    return Label("TargetCategory", per_bucket, "first",
+                 lambda nxt, cut, hz: F.when(nxt["d"] <= hz, nxt["t"]), "inner", None, "preference")
+
+
+def _label_for(kind, df, cols, params, target_col) -> Label:
+    if isinstance(kind, Label):
+        return kind
+    if kind == "redonate":
+        return redonate_label()
+    if kind == "major":
+        return major_label(params.major_gift_threshold)
+    if kind == "time":
+        return days_to_next_label()
+    if kind == "preference":
+        return next_category_label(target_col or preference_target(df, cols))
+    raise ValueError(f"unknown panel kind {kind!r}")
+
+
 def _build_panel(df, kind, cols, params, target_col, attributes):
     step = params.panel_step_months
     win = params.redonate_window_days
     d, a = F.col(cols.date), F.col(cols.amount)
     seq = F.col(cols.seq) if cols.seq in df.columns else F.lit(0).cast("long")
     demo = _demo_cols(df, cols, attributes)
-    if kind == "preference" and target_col is None:
-        target_col = preference_target(df, cols)
+    label = _label_for(kind, df, cols, params, target_col)
 
-    rng = _range_struct(df, kind, cols, params)
+    rng = _range_struct(df, label.range, cols, params)
     g = df.withColumn("__r", rng)
     g = g.withColumn("b", bucket_of(d, F.col("__r.start"), F.col("__r.n"), step))
 
     key = F.struct(d.alias("d"), seq.alias("s"))
+    ctx = BucketContext(d, a, key, params)
     aggs = [F.count(F.lit(1)).alias("cnt"), F.sum(a.cast(MONEY)).alias("amt"),
             F.max(d).alias("max_d"), F.max_by(a, key).alias("last_amt"),
-            F.min(d).alias("min_d"), F.first("__r").alias("__r")]
-    if kind == "major":
-        aggs.append(F.min(F.when(a >= F.lit(params.major_gift_threshold), d)).alias("min_major"))
-    if kind == "preference":
-        t = F.col(target_col)
-        aggs.append(F.min_by(F.struct(d.alias("d"), t.alias("t")),
-                             F.when(t.isNotNull(), key)).alias("first_t"))
+            F.first("__r").alias("__r"), label.per_bucket(ctx).alias("lab_b")]
     if demo:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in demo]), key).alias("demo"))
     pre = g.groupBy(cols.donor_id, "b").agg(*aggs)
 
+    # One row per (donor, bucket): the window is bounded by the cutoff count.
     w = Window.partitionBy(cols.donor_id).orderBy("b")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = w.rowsBetween(1, Window.unboundedFollowing)
-    cols_w = {
-        "cum_cnt": F.sum("cnt").over(upto),
-        "cum_amt": F.sum("amt").over(upto),
-        "next_b": F.lead("b").over(w),
-        "next_d": F.lead("min_d").over(w),
-    }
-    if kind == "major":
-        cols_w["next_major"] = F.min("min_major").over(after)
-    if kind == "preference":
-        cols_w["next_t"] = F.first("first_t", ignorenulls=True).over(after)
+    nxt = (F.min("lab_b").over(after) if label.ahead == "min"
+           else F.first("lab_b", ignorenulls=True).over(after))
+    cols_w = {"cum_cnt": F.sum("cnt").over(upto), "cum_amt": F.sum("amt").over(upto),
+              "next_b": F.lead("b").over(w), "next_lab": nxt}
     if demo:
         cols_w["demo_x"] = (F.col("demo") if params.demographics_asof else
                             F.last("demo").over(w.rowsBetween(Window.unboundedPreceding,
                                                               Window.unboundedFollowing)))
     pw = pre.withColumns(cols_w)
 
+    # Each bucket row stands for the cutoffs up to the donor's next bucket.
     n = F.col("__r.n")
     last_i = F.least(F.coalesce(F.col("next_b"), n), n) - 1
     ex = pw.filter(F.col("b") < n).withColumn("i", F.explode(F.sequence(F.col("b"), last_i)))
-    cut = cutoff_at(F.col("__r.start"), F.col("i"), step)
-    ex = ex.withColumn("CutoffDate", cut)
+    ex = ex.withColumn("CutoffDate", cutoff_at(F.col("__r.start"), F.col("i"), step))
     horizon = add_days(F.col("CutoffDate"), win)
 
     feats = [F.col(cols.donor_id),
@@ -259,21 +334,12 @@ def _build_panel(df, kind, cols, params, target_col, attributes):
              F.col("last_amt").alias("LastAmount"),
              *[F.col("demo_x")[c].alias(c) for c in demo],
              F.col("CutoffDate")]
-    if kind == "redonate":
-        lab = F.when(F.col("next_d").isNotNull() & (F.col("next_d") <= horizon), 1).otherwise(0)
-        return ex.select(*feats, lab.cast("int").alias("ReDonate"))
-    if kind == "major":
-        lab = F.when(F.col("next_major").isNotNull() & (F.col("next_major") <= horizon), 1).otherwise(0)
-        return ex.select(*feats, lab.cast("int").alias("MajorGift"))
-    if kind == "time":
-        days = elapsed_days(F.col("CutoffDate"), F.col("next_d"))
-        return (ex.filter(F.col("next_d").isNotNull()).select(*feats, days.alias("DaysToNext"))
-                .filter(F.col("DaysToNext") > 0))
-    if kind == "preference":
-        nt = F.col("next_t")
-        return (ex.filter(nt.isNotNull() & (nt["d"] <= horizon))
-                .select(*feats, nt["t"].alias("TargetCategory")))
-    raise ValueError(f"unknown panel kind {kind!r}")
+    val = label.value(F.col("next_lab"), F.col("CutoffDate"), horizon)
+    if label.keep == "left":
+        if label.default is not None:
+            val = F.coalesce(val, F.lit(label.default))
+        return ex.select(*feats, val.alias(label.name))
+    return ex.select(*feats, val.alias(label.name)).filter(F.col(label.name).isNotNull())
 
 
 def preference_target(df: DataFrame, cols: ColumnMap = _C) -> str:
@@ -340,5 +406,6 @@ def panel_summary(panel: DataFrame, label: str, name: str | None = None) -> Data
                     "median_label")
 
 
-__all__ = ["build_panel", "panel_cutoffs", "donor_demographics", "donor_features_asof",
+__all__ = ["build_panel", "Label", "BucketContext", "redonate_label", "major_label",
+           "days_to_next_label", "next_category_label", "panel_cutoffs", "donor_demographics", "donor_features_asof",
            "amount_dataset", "panel_summary", "preference_target", "cutoff_at", "bucket_of"]

@@ -176,3 +176,23 @@ def test_quality_report_raises_on_empty_and_no_dates(spark):
     r = {x["check"]: x for x in quality.validate(ok, C).collect()}
     assert r["amount_negative"]["value"] == 1.0 and r["amount_zero"]["severity"] == "warning"
     assert r["date_span_years"]["severity"] == "ok"
+
+
+def test_custom_label_next_gift_amount(spark):
+    # a user label: amount of the first gift after the cutoff, any time later
+    lab = panel.Label("NextAmount", lambda x: F.min_by(x.amount, x.key), "first",
+                      lambda nxt, cut, hz: nxt, "inner", None, "redonate")
+    rows = [(i, f"d{i % 4}", D(2015, 1, 1) + dt.timedelta(days=53 * i + i % 5), float(i)) for i in range(60)]
+    g = gifts(spark, rows)
+    got = {(r["ID"], r["CutoffDate"]): r["NextAmount"]
+           for r in panel.build_panel(g, lab, C, AnalysisParams()).collect()}
+    cuts = [r["CutoffDate"] for r in panel.panel_cutoffs(g, "redonate", C, AnalysisParams()).collect()]
+    want = {}
+    for c in cuts:
+        for donor in {r[1] for r in rows}:
+            mine = sorted((r[2], r[0], r[3]) for r in rows if r[1] == donor)
+            if any(x[0] <= c for x in mine):
+                later = [x for x in mine if x[0] > c]
+                if later:
+                    want[(donor, c)] = later[0][2]
+    assert got == want and len(got) > 10
