@@ -33,17 +33,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Read from the session; only when nothing is configured (local tests)
-    do we pick a folder of our own and register it.
+    Read from the session (``spark.checkpoint.dir`` / the context's
+    checkpoint directory); only when nothing is configured (local tests)
+    do we pick a folder of our own and register it with the context.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="giftlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="giftlens-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -196,3 +196,32 @@ def test_custom_label_next_gift_amount(spark):
                 if later:
                     want[(donor, c)] = later[0][2]
     assert got == want and len(got) > 10
+
+
+def test_shared_dir_when_unset():
+    from giftlens.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class SC:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d + "/ctx"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = SC()
+
+    s = Session()
+    d = shared_dir(s)
+    assert d.endswith("/ctx") and shared_dir(s) == d
