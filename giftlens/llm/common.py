@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from giftlens.session import shared_dir
+from giftlens.session import scratch_path, shared_dir
 
 # Lower-cases A-Z and turns every ASCII byte outside [0-9a-z] into a blank.
 # Bytes from 0x80 on (all of a non-ASCII character's UTF-8 bytes) stay, so
@@ -31,6 +31,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Like ``cut`` for wide rows: a compressed table in the shared folder, of
+    which later steps read only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def alnum_words(text: str | None) -> list[bytes]:
     """Lower-cased words of letters, digits and non-ASCII characters."""
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
