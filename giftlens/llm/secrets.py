@@ -43,7 +43,7 @@ class EntropyParams:
 
 #: Stands before and after every match; never matched by a pattern.  Texts that
 #: hold it have it read as another character no pattern matches.
-_MARK, _PLAIN = "", ""
+_MARK, _PLAIN = "\ue000", "\ue001"
 
 # Characters of candidates, in the order of their counters.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
