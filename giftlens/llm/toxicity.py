@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
 
 def _severity(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = model.value
+        fitted = OrdinalModel(*model.value)
         for b in batches:
             up = [fitted.above(fitted.margin(t.as_py())) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([
@@ -184,7 +184,7 @@ def score(docs: DataFrame, model: OrdinalModel, params: ToxicityParams = Toxicit
     severity of at least ``reject_at``.  A null, empty or wordless text has no
     features and gets the prior's low severity.  Whole texts are read; rows are
     scored one by one, so repeated rows and null ids need no rule."""
-    bc = docs.sparkSession.sparkContext.broadcast(model)
+    bc = docs.sparkSession.sparkContext.broadcast((model.weights, model.thetas))
     out = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _severity(bc), "doc_id long, severity double, grade int")
     return out.withColumn("toxic", F.col("severity") >= params.reject_at)
@@ -192,11 +192,11 @@ def score(docs: DataFrame, model: OrdinalModel, params: ToxicityParams = Toxicit
 
 def drop_toxic(docs: DataFrame, model: OrdinalModel, params: ToxicityParams = ToxicityParams()) -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns, in one pass."""
-    bc = docs.sparkSession.sparkContext.broadcast(model)
+    bc = docs.sparkSession.sparkContext.broadcast((model.weights, model.thetas))
     at, limit = docs.columns.index("text"), params.reject_at
 
     def run(batches):
-        fitted = bc.value
+        fitted = OrdinalModel(*bc.value)
         for b in batches:
             text = b.column(at).cast(pa.string())
             yield b.filter(pa.array([round(fitted.severity(t.as_py()), 6) < limit for t in text], pa.bool_()))
