@@ -54,7 +54,7 @@ class NearDedupParams:
     base: float = 1.02
     rate: float = 20.0
     margin: float = 0.15
-    unit_classes: int = 256
+    unit_classes: int = 1024
     unit_shingles: int = 500_000
 
 
