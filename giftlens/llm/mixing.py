@@ -140,16 +140,15 @@ def sample_mix(docs: DataFrame, params: MixParams = MixParams(),
     _, raked = mix(docs, params, targets)
     rates = raked.select(*[F.col(c).alias(f"_{c}") for c in DIMENSIONS],
                          F.round("probability", 9).alias("sampling_probability"))
-    tokens = token_count(F.col("text").cast("string"))
-    src = docs.drop("sampling_probability").withColumn("_n", tokens)
-    topic = topic_of(F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("_n"))
-    src = (src.withColumn("_topic", topic)
-           .withColumn("_source", F.coalesce(F.col("source").cast("string"), F.lit(NONE)))
-           .withColumn("_lang", F.coalesce(F.col("lang").cast("string"), F.lit(NONE))))
+    own = [c for c in docs.columns if c != "sampling_probability"]
+    text = F.col("row.text").cast("string")
+    src = docs.select(F.struct(*own).alias("row")).withColumn("_n", token_count(text))
+    src = src.select("row", "_n", topic_of(F.coalesce(text, F.lit("")), F.col("_n")).alias("_topic"),
+                     *[F.coalesce(F.col(f"row.{c}").cast("string"), F.lit(NONE)).alias(f"_{c}") for c in ("source", "lang")])
     both = src.join(rates, [f"_{c}" for c in DIMENSIONS])
-    return (both.where((F.col("_n") > 0) & (draw(F.col("doc_id").cast("long"), params.seed)
+    return (both.where((F.col("_n") > 0) & (draw(F.col("row.doc_id").cast("long"), params.seed)
                                             < F.col("sampling_probability")))
-            .select(*[c for c in docs.columns if c != "sampling_probability"], "sampling_probability"))
+            .select("row.*", "sampling_probability"))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
