@@ -98,7 +98,7 @@ class ModelParams:
     lr_max_iter: int = 5000
     lr_tol: float = 1e-4                # the reference's solver tolerance (library default)
     rf_n_estimators: int = 300
-    rf_max_depth: int = 10              # sklearn grows unlimited depth; Spark caps at 30 and
+    rf_max_depth: int = 30              # sklearn grows unlimited depth; Spark caps at 30 and
                                         # grows level-wise, so deep forests cost 2^depth work
     gbt_n_estimators: int = 300
     gbt_learning_rate: float = 0.05

@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+# Four decimals below the unit and 24 digits above: amounts keep fractions of a
+# cent, and no sum of them overflows.
+MONEY = "decimal(28,4)"
+
+
+def money(c: Column) -> Column:
+    """An amount for exact sums; one of 1e24 or more is no amount (null)."""
+    return c.try_cast(MONEY)
 
 
 def money_sum(c: Column) -> Column:
     """Exact, order-independent sum of money: add decimals, cast once."""
-    return F.sum(c.cast(MONEY)).cast("double")
+    return F.sum(money(c)).cast("double")
 
 
 def money_avg(c: Column) -> Column:

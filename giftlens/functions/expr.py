@@ -65,7 +65,8 @@ def strict_double(c: Column) -> Column:
     NaN/inf, become null."""
     s = c.cast("string")
     parsed = F.when(s.rlike(_NUMBER_RE), F.trim(s).try_cast("double"))
-    return F.when(F.isnan(parsed), F.lit(None).cast("double")).otherwise(parsed)
+    finite = F.abs(parsed) < F.lit(float("inf"))              # false for NaN too
+    return F.when(finite, parsed)
 
 
 def null_tokens_to_null(c: Column) -> Column:
@@ -81,7 +82,9 @@ def parse_flag(c: Column) -> Column:
            .when(s.isin(*TRUTHY), F.lit(1.0))
            .when(s.isin(*FALSY), F.lit(0.0))
            .otherwise(num))
-    return F.coalesce(raw, F.lit(0.0)).cast("int")
+    # Numbers beyond an int stay out of the domain at its ends.
+    top = float(2**31 - 1)
+    return F.greatest(F.lit(-top), F.least(F.lit(top), F.coalesce(raw, F.lit(0.0)))).cast("int")
 
 
 def flag_value(c: Column) -> Column:
@@ -99,10 +102,15 @@ def normalize_categorical(c: Column) -> Column:
                   F.lit(MISSING_CATEGORY)).otherwise(s)
 
 
-def parse_timestamp(c: Column, formats=("d/M/yyyy", "yyyy-MM-dd",
-                                         "yyyy-MM-dd HH:mm:ss",
-                                         "d/M/yyyy H:mm:ss")) -> Column:
-    """Day-first tolerant timestamp parse; unparseable -> null."""
+# Day first wherever day and month are both numbers.
+DATE_FORMATS = ("d/M/yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "d/M/yyyy H:mm:ss",
+                "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss.SSS",
+                "d/M/yyyy H:mm", "d/M/yyyy h:mm a", "d/M/yyyy h:mm:ss a", "yyyy-MM-dd HH:mm",
+                "d-M-yyyy", "d.M.yyyy", "d MMM yyyy", "d-MMM-yyyy", "d MMMM yyyy", "d/M/yy", "yyyy/M/d", "yyyyMMdd")
+
+
+def parse_timestamp(c: Column, formats=DATE_FORMATS) -> Column:
+    """Timestamp by the first format that fits; unparseable -> null."""
     s = F.trim(c.cast("string"))
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
 

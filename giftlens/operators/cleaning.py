@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from giftlens.config import ColumnMap
-from giftlens.functions.expr import (flag_value, month_label, month_start,
+from giftlens.functions.expr import (DATE_FORMATS, flag_value, month_label, month_start,
                                      normalize_categorical, null_tokens_to_null,
                                      parse_flag, parse_timestamp, strict_double)
 
@@ -48,28 +48,31 @@ def normalize_id(df: DataFrame, cols: ColumnMap = _C, null_id: str | None = "nan
     return df.withColumn(cols.donor_id, c)
 
 
-def parse_dates(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
-    """C4: day-first date parsing of the gift date and birth date."""
+def parse_dates(df: DataFrame, cols: ColumnMap = _C, extra_formats: tuple[str, ...] = ()) -> DataFrame:
+    """C4: day-first date parsing of the gift date and birth date, by the known
+    formats and then ``extra_formats``."""
     out = df
     for c in (cols.date, cols.birthdate):
         if c and c in out.columns and not _is_timestamp(out, c):
-            out = out.withColumn(c, parse_timestamp(F.col(c)))
+            out = out.withColumn(c, parse_timestamp(F.col(c), DATE_FORMATS + tuple(extra_formats)))
     return out
 
 
-def date_parse_loss(raw: DataFrame, cols: ColumnMap = _C) -> DataFrame:
+def date_parse_loss(raw: DataFrame, cols: ColumnMap = _C, extra_formats: tuple[str, ...] = ()) -> DataFrame:
     """C4 warning: non-null raw dates that failed to parse, per column."""
+    formats = DATE_FORMATS + tuple(extra_formats)
     checks = [c for c in (cols.date, cols.birthdate) if c and c in raw.columns]
     aggs = []
     for c in checks:
         aggs.append(F.struct(F.lit(c).alias("column"),
-                             (F.count(F.col(c)) - F.count(parse_timestamp(F.col(c)))).alias("lost")))
+                             (F.count(F.col(c)) - F.count(parse_timestamp(F.col(c), formats))).alias("lost")))
     return raw.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
 
 
-def type_conversions(df: DataFrame, cols: ColumnMap = _C, null_id: str | None = "nan") -> DataFrame:
+def type_conversions(df: DataFrame, cols: ColumnMap = _C, null_id: str | None = "nan",
+                     extra_formats: tuple[str, ...] = ()) -> DataFrame:
     """C1-C4 as the loader applies them to an all-string input."""
-    return parse_dates(normalize_id(coerce_amount(null_tokens(df), cols), cols, null_id), cols)
+    return parse_dates(normalize_id(coerce_amount(null_tokens(df), cols), cols, null_id), cols, extra_formats)
 
 
 def add_temporal(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:

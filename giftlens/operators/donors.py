@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from giftlens.config import AnalysisParams, ColumnMap
-from giftlens.functions.agg import MONEY, last_by, money_avg, money_sum
+from giftlens.functions.agg import MONEY, last_by, money, money_avg, money_sum
 from giftlens.functions.expr import add_days, elapsed_days
 
 _C = ColumnMap()
@@ -40,9 +40,9 @@ def donor_summary(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
         F.count(d).alias("Frequency"), money_sum(a).alias("Monetary"),
         money_avg(a).alias("AvgAmount"), last_by(a, d, seq).alias("LastAmount"),
         F.count_if(recent).alias("Gifts12"),
-        F.coalesce(F.sum(F.when(recent, a.cast(MONEY))), F.lit(0).cast(MONEY)).cast("double").alias("Amt12"),
+        F.coalesce(F.sum(F.when(recent, money(a))), F.lit(0).cast(MONEY)).cast("double").alias("Amt12"),
         F.count_if(prev).alias("GiftsPrev12"), F.first("__ref").alias("__ref"),
-        F.coalesce(F.sum(F.when(prev, a.cast(MONEY))), F.lit(0).cast(MONEY)).cast("double").alias("AmtPrev12"))
+        F.coalesce(F.sum(F.when(prev, money(a))), F.lit(0).cast(MONEY)).cast("double").alias("AmtPrev12"))
     return s.select(cols.donor_id, "LastGiftDate", "FirstGiftDate", "Frequency", "Monetary",
                     "AvgAmount", "LastAmount",
                     elapsed_days(F.col("LastGiftDate"), ref).alias("Recency"),

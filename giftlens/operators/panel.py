@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from giftlens.config import AnalysisParams, ColumnMap
-from giftlens.functions.agg import MONEY, last_by, median
-from giftlens.functions.expr import add_days, elapsed_days, ntz_lit
+from giftlens.functions.agg import last_by, median, money
+from giftlens.functions.expr import MISSING_CATEGORY, add_days, elapsed_days, ntz_lit
 
 _C = ColumnMap()
 _A = AnalysisParams()
@@ -136,6 +136,9 @@ def _attach_attributes(result: DataFrame, attributes: DataFrame | None, cols: Co
     if not extra:
         return result
     j = result.join(attributes.select(cols.donor_id, *extra), cols.donor_id, "left")
+    # Donors without an attribute row get what blank attributes are cleaned to.
+    flags = [c for c in extra if c in cols.relationship]
+    j = j.fillna(0, subset=flags).fillna(MISSING_CATEGORY, subset=[c for c in extra if c not in flags])
     demo_order = [c for c in cols.demographics if c in j.columns]
     head = [c for c in order if c not in cols.demographics and c not in ("CutoffDate",) + LABELS
             and c != "FutureMedianAmount"]
@@ -166,7 +169,7 @@ def donor_features_asof(df: DataFrame, cutoff: Column, cols: ColumnMap = _C,
     hist = d <= F.col("__cut")
     demo = _demo_cols(df, cols, attributes) if demographics else []
     aggs = [F.count_if(hist).alias("Frequency"),
-            F.sum(F.when(hist, a.cast(MONEY))).alias("__sum"),
+            F.sum(F.when(hist, money(a))).alias("__sum"),
             F.max(F.when(hist, d)).alias("__last"),
             F.max_by(F.when(hist, a), F.when(hist, F.struct(d.alias("d"), (seq if seq is not None else F.lit(0)).alias("s")))).alias("LastAmount"),
             F.first("__cut").alias("__cut")]
@@ -298,7 +301,7 @@ def _build_panel(df, kind, cols, params, target_col, attributes):
 
     key = F.struct(d.alias("d"), seq.alias("s"))
     ctx = BucketContext(d, a, key, params)
-    aggs = [F.count(F.lit(1)).alias("cnt"), F.sum(a.cast(MONEY)).alias("amt"),
+    aggs = [F.count(F.lit(1)).alias("cnt"), F.sum(money(a)).alias("amt"),
             F.max(d).alias("max_d"), F.max_by(a, key).alias("last_amt"),
             F.first("__r").alias("__r"), label.per_bucket(ctx).alias("lab_b")]
     if demo:
@@ -368,7 +371,7 @@ def amount_dataset(df: DataFrame, cols: ColumnMap = _C, params: AnalysisParams =
     demo = _demo_cols(df, cols, attributes)
     key = F.struct(d.alias("d"), seq.alias("s"))
     aggs = [F.count_if(hist).alias("Frequency"),
-            F.sum(F.when(hist, a.cast(MONEY))).alias("__sum"),
+            F.sum(F.when(hist, money(a))).alias("__sum"),
             F.max(F.when(hist, d)).alias("__last"),
             F.max_by(F.when(hist, a), F.when(hist, key)).alias("LastAmount"),
             median(F.when(~hist, a), exact).alias("FutureMedianAmount"),

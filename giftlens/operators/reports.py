@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from giftlens.config import AnalysisParams, ColumnMap
-from giftlens.functions.agg import median, money_avg, money_sum
-from giftlens.functions.expr import month_label, month_start, pct_change, safe_div
+from giftlens.functions.agg import median, money, money_avg, money_sum
+from giftlens.functions.expr import MISSING_CATEGORY, month_label, month_start, pct_change, safe_div
 
 _C = ColumnMap()
 _A = AnalysisParams()
@@ -154,11 +154,11 @@ def attribute_distribution(gifts: DataFrame, attributes: DataFrame, group_col: s
     frame, but gifts are first aggregated per donor (partial aggregation
     map-side, so a donor with a third of all gifts becomes one row), and
     only one row per donor is shuffled into the join."""
-    from giftlens.functions.agg import MONEY
     per = gifts.groupBy(cols.donor_id).agg(
-        F.sum(F.col(cols.amount).cast(MONEY)).alias("__amt"), F.count(F.lit(1)).alias("__n"))
+        F.sum(money(F.col(cols.amount))).alias("__amt"), F.count(F.lit(1)).alias("__n"))
     j = per.join(attributes.select(cols.donor_id, group_col), cols.donor_id, "left")
-    t = (j.filter(F.col(group_col).isNotNull()).groupBy(group_col)
+    # A donor without an attribute row has the category a blank one has.
+    t = (j.withColumn(group_col, F.coalesce(group_col, F.lit(MISSING_CATEGORY))).groupBy(group_col)
          .agg(F.sum("__amt").cast("double").alias("total_amount"),
               F.count(F.lit(1)).alias("donors"), F.sum("__n").alias("donation_count"))
          .withColumns({
@@ -174,12 +174,11 @@ def attribute_relationship_trend(gifts: DataFrame, attributes: DataFrame, cols:
     (donor, year) first -- partial aggregation, one row per donor-year --
     and only then joined to the flags; equal to ``relationship_trend`` on
     the joined wide frame."""
-    from giftlens.functions.agg import MONEY
     gifts = with_temporal(gifts, cols)
     flags = [c for c in cols.relationship if c in attributes.columns]
     per = (gifts.filter(F.col("Year").isNotNull()).groupBy(cols.donor_id, "Year")
-           .agg(F.sum(F.col(cols.amount).cast(MONEY)).alias("__amt"), F.count(F.lit(1)).alias("__n")))
-    j = per.join(attributes.select(cols.donor_id, *flags), cols.donor_id, "left").dropna(subset=flags)
+           .agg(F.sum(money(F.col(cols.amount))).alias("__amt"), F.count(F.lit(1)).alias("__n")))
+    j = per.join(attributes.select(cols.donor_id, *flags), cols.donor_id, "left").fillna(0, subset=flags)
     t = j.groupBy("Year", *flags).agg(F.sum("__amt").cast("double").alias("total_amount"),
                                       F.sum("__n").alias("donation_count"))
     if len(flags) >= 4:
@@ -192,14 +191,16 @@ def attribute_relationship_summary(gifts: DataFrame, attributes: DataFrame, cols
     """A7 when the flags live in the donor table.  Gifts are first reduced
     to (donor, amount, count) -- recurring gifts of one amount collapse
     map-side -- then joined to the flags; the median stays exact through
-    the frequency-weighted ``percentile``.  Null flag keys are kept."""
-    from giftlens.functions.agg import MONEY
+    the frequency-weighted ``percentile``.  A donor without an attribute row
+    has all flags 0, as one with blank flags has."""
     flags = [c for c in cols.relationship if c in attributes.columns]
     a = F.col(cols.amount)
-    per = gifts.groupBy(cols.donor_id, a.alias("__a")).agg(F.count(F.lit(1)).alias("__n"))
-    j = per.join(attributes.select(cols.donor_id, *flags), cols.donor_id, "left")
+    # The sketch takes no frequencies, so for it every gift stays a row.
+    per = (gifts.groupBy(cols.donor_id, a.alias("__a")).agg(F.count(F.lit(1)).alias("__n")) if exact
+           else gifts.select(cols.donor_id, a.alias("__a"), F.lit(1).alias("__n")))
+    j = per.join(attributes.select(cols.donor_id, *flags), cols.donor_id, "left").fillna(0, subset=flags)
     amt = F.col("__a")
-    total = F.sum(amt.cast(MONEY) * F.col("__n"))
+    total = F.sum(money(amt) * F.col("__n"))
     med = (F.round(F.percentile(amt.cast("double"), F.lit(0.5), F.col("__n")), 6) if exact else
            F.round(F.percentile_approx(amt.cast("double"), 0.5, 10000).cast("double"), 6))
     t = j.groupBy(*flags).agg(

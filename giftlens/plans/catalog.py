@@ -450,13 +450,8 @@ def q_next_date_bands(spark, sf_dir):
 
 # -- fitted models (rows-only checks) -------------------------------------------------
 
-# Tree budget for the registered model queries.  The library defaults
-# (ModelParams()) keep the reference's 300/500/200/400 trees; the check
-# harness runs every query on one machine, where each Spark tree level is
-# a job, so these queries fit smaller ensembles.  Row counts -- what a
-# rows-only check compares -- do not depend on ensemble size.
-FIXTURE_MODELS = ModelParams(rf_n_estimators=40, gbt_n_estimators=40, time_rf_n_estimators=40,
-                             amount_rf_n_estimators=40, preference_n_estimators=40)
+# The registered model queries fit the ensembles a user gets by default.
+MODELS = ModelParams()
 
 
 def _stable(df):
@@ -474,7 +469,7 @@ def q_feature_matrix(spark, sf_dir):
 
 def _propensity(spark, sf_dir, label, algorithms):
     p = q_panel_redonate(spark, sf_dir) if label == "ReDonate" else q_panel_major(spark, sf_dir)
-    return models.train_propensity(_stable(p), label, C, FIXTURE_PARAMS, FIXTURE_MODELS, algorithms)
+    return models.train_propensity(_stable(p), label, C, FIXTURE_PARAMS, MODELS, algorithms)
 
 
 @register("propensity_lr")
@@ -508,16 +503,16 @@ def q_field_importance(spark, sf_dir):
 
 
 def _amount(spark, sf_dir):
-    return models.train_amount(_stable(q_amount_dataset(spark, sf_dir)), C, FIXTURE_PARAMS, FIXTURE_MODELS)
+    return models.train_amount(_stable(q_amount_dataset(spark, sf_dir)), C, FIXTURE_PARAMS, MODELS)
 
 
 def _time(spark, sf_dir):
-    return models.train_time(_stable(q_panel_time(spark, sf_dir)), C, FIXTURE_PARAMS, FIXTURE_MODELS)
+    return models.train_time(_stable(q_panel_time(spark, sf_dir)), C, FIXTURE_PARAMS, MODELS)
 
 
 def _preference(spark, sf_dir):
     return models.train_preference(_stable(q_panel_preference(spark, sf_dir)), "fund", C,
-                                   FIXTURE_PARAMS, FIXTURE_MODELS)
+                                   FIXTURE_PARAMS, MODELS)
 
 
 @register("amount_model")

@@ -47,7 +47,7 @@ clean AS (
   FROM gifts WHERE Amount > 0 AND NOT isnan(Amount)
 )"""
 
-MONEY = "CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+MONEY = "CAST(SUM(CAST({x} AS DECIMAL(28,4))) AS DOUBLE)"
 
 
 def money(x: str = "Amount") -> str:

@@ -3,7 +3,6 @@ shared checkpoint folder a cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -34,8 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir`` / the context's
-    checkpoint directory); only when nothing is configured (local tests)
-    do we pick a folder of our own and register it with the context.
+    checkpoint directory); only when nothing is configured on a local
+    master (tests) do we pick a folder of our own; a cluster must name one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="giftlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -54,13 +55,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark).rstrip("/")
     return f"{base}/giftlens/{name}-{uuid.uuid4().hex}"
 
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
-def ensure_parent(path: str) -> None:
-    if path.startswith("file:"):
-        path = path[5:]
-    if path.startswith("/"):
-        os.makedirs(os.path.dirname(path), exist_ok=True)

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from giftlens.operators.joins import sized_broadcast
 
 # Fixed projection of the extract, in reference order (receipt, donor
 # attributes, appeal lookup, fund lookup).
@@ -36,8 +35,6 @@ FUND_COLUMNS = (("Code", "FundCode"), ("Description", "FundDescription"),
                 ("ActiveFlag", "FundActiveFlag"))
 DATE_COLUMNS = ("Date", "HoldPledgeInstalmentNextDate", "BirthDate", "AppealModifiedDate")
 
-LOOKUP_MAX_ROWS = 100_000
-
 
 def _lookup(df: DataFrame, mapping, key_alias: str) -> DataFrame:
     cols = [F.col(src).alias(dst) for src, dst in mapping if src in df.columns]
@@ -61,11 +58,11 @@ def extract_wide(receipts: DataFrame, attributes: DataFrame,
 
     if appeals is not None:
         lk = _lookup(appeals, APPEAL_COLUMNS, "__appeal_key")
-        out = out.join(sized_broadcast(lk, LOOKUP_MAX_ROWS),
+        out = out.join(lk,
                        out[appeal_on] == lk["__appeal_key"], "left").drop("__appeal_key")
     if funds is not None:
         lk = _lookup(funds, FUND_COLUMNS, "__fund_key")
-        out = out.join(sized_broadcast(lk, LOOKUP_MAX_ROWS),
+        out = out.join(lk,
                        out[fund_on] == lk["__fund_key"], "left").drop("__fund_key")
 
     order = list(RECEIPT_COLUMNS) + list(ATTRIBUTE_COLUMNS) + \

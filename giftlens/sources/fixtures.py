@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from giftlens.operators.joins import sized_broadcast
-from giftlens.sources.extract import LOOKUP_MAX_ROWS, extract_wide
+from giftlens.sources.extract import extract_wide
 from giftlens.sources.tables import table
 
 GIFT_COLUMNS = ("ReceiptSeq", "ID", "Date", "Amount", "Appeal", "Fund",
@@ -41,9 +40,9 @@ def donor_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     k = F.col("c_custkey")
-    geo = n.join(sized_broadcast(r, LOOKUP_MAX_ROWS), n.n_regionkey == r.r_regionkey, "left") \
+    geo = n.join(r, n.n_regionkey == r.r_regionkey, "left") \
         .select("n_nationkey", F.col("n_name").alias("Suburb"), F.col("r_name").alias("State"))
-    return c.join(sized_broadcast(geo, LOOKUP_MAX_ROWS), c.c_nationkey == geo.n_nationkey, "left").select(
+    return c.join(geo, c.c_nationkey == geo.n_nationkey, "left").select(
         k.cast("string").alias("ID"),
         F.when(k % 4 == 0, "F").when(k % 4 == 1, " M ").when(k % 4 == 2, "").alias("Gender"),
         F.col("c_mktsegment").alias("OccupDesc"),

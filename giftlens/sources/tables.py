@@ -8,17 +8,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
-# One resolved scan per (session, path): file listing and footer reads
-# happen once, later queries reuse the same (lazy) relation.
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of the data directory (``{sf_dir}/{name}.parquet``)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
-    return df
+    """One table of the data directory (``{sf_dir}/{name}.parquet``), listed
+    anew each time, so files that were added are read."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

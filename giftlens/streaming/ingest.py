@@ -25,7 +25,8 @@ def landing_stream(spark: SparkSession, landing_dir: str, columns: list[str],
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """New CSV files in ``landing_dir`` as an all-string stream."""
     schema = StructType([StructField(c, StringType()) for c in columns])
-    r = (spark.readStream.schema(schema).option("header", True)
+    r = (spark.readStream.schema(schema).option("header", True).option("escape", '"')
+         .option("multiLine", True).option("enforceSchema", False)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))

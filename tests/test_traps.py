@@ -206,6 +206,8 @@ def test_shared_dir_when_unset():
             return default
 
     class SC:
+        master = "local[2]"
+
         def __init__(self):
             self.dir = None
 
@@ -225,3 +227,73 @@ def test_shared_dir_when_unset():
     s = Session()
     d = shared_dir(s)
     assert d.endswith("/ctx") and shared_dir(s) == d
+
+
+# -- donors without attributes, money, ingest, appended files -------------------------
+
+def _two_donors(spark):
+    gifts = spark.createDataFrame([("1", dt.datetime(2020, 1, 2), 80.0), ("2", dt.datetime(2020, 3, 2), 150.0)],
+                                  "ID string, Date timestamp_ntz, Amount double")
+    attrs = spark.createDataFrame([("1", "F", 1, 0, 0, 0)], "ID string, Gender string, CurrentParent int, "
+                                  "PastParent int, PastStudent int, FutureParent int")
+    return gifts, attrs
+
+
+def test_unmatched_donors_are_counted(spark):
+    from giftlens.operators import reports
+    gifts, attrs = _two_donors(spark)
+    got = {r.Gender: r.total_amount for r in reports.attribute_distribution(gifts, attrs, "Gender").collect()}
+    assert got == {"F": 80.0, "Missing": 150.0}
+    assert sum(r.total_amount for r in reports.attribute_relationship_trend(gifts, attrs).collect()) == 230.0
+    flags = {r.CurrentParent: r.total_amount for r in reports.attribute_relationship_summary(gifts, attrs).collect()}
+    assert flags == {1: 80.0, 0: 150.0}
+
+
+def test_money_keeps_fractions_and_large_amounts(spark):
+    from giftlens.functions.agg import money_sum
+    df = spark.createDataFrame([(10.004,), (10.004,), (0.004,)], "a double")
+    assert df.agg(money_sum(df.a)).first()[0] == 20.012
+    big = spark.createDataFrame([(1e16,), (1e17,)], "a double")
+    assert big.agg(money_sum(big.a)).first()[0] == 1.1e17
+
+
+def test_approximate_median_counts_gifts(spark):
+    from giftlens.operators import reports
+    gifts = spark.createDataFrame([("1", a) for a in (10.0, 20.0, 30.0, 30.0, 30.0, 30.0, 30.0)], "ID string, Amount double")
+    _, attrs = _two_donors(spark)
+    for exact in (True, False):
+        assert reports.attribute_relationship_summary(gifts, attrs, exact=exact).first().median_amount == 30.0
+
+
+def test_numbers_out_of_range(spark):
+    from giftlens.functions.expr import parse_flag, strict_double
+    df = spark.createDataFrame([("9999999999",), ("1e400",), ("2.7",)], "s string")
+    rows = df.select(parse_flag(df.s).alias("f"), strict_double(df.s).alias("d")).collect()
+    assert [r.f for r in rows] == [2**31 - 1, 0, 2] and rows[1].d is None
+
+
+def test_dates_of_many_formats(spark):
+    from giftlens.functions.expr import parse_timestamp
+    texts = ["2020-01-02T03:04:05", "2020-01-02 03:04:05.123", "02/01/2020 13:45", "02-01-2020", "02.01.2020",
+             "2 Jan 2020", "2/1/20", "2/1/2020 1:45 PM", "2/1/2020", "20200102"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert [r[0].date() for r in df.select(parse_timestamp(df.s)).collect()] == [dt.date(2020, 1, 2)] * len(texts)
+
+
+def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
+    import pytest as _pytest
+    from giftlens.sources.readers import read_gifts_csv
+    (tmp_path / "a.csv").write_text('ID,Date,Comments\n1,2/1/2020,"He said ""hi, all"" ok"\n2,3/1/2020,"line1\nline2"\n')
+    rows = {r.ID: r.Comments for r in read_gifts_csv(spark, str(tmp_path)).collect()}
+    assert rows == {"1": 'He said "hi, all" ok', "2": "line1\nline2"}
+    (tmp_path / "b.csv").write_text("Date,ID,Comments\n4/1/2020,3,x\n")
+    with _pytest.raises(Exception):
+        read_gifts_csv(spark, str(tmp_path)).collect()
+
+
+def test_appended_files_are_read(spark, tmp_path):
+    from giftlens.sources.tables import table
+    spark.range(10).write.parquet(f"{tmp_path}/t.parquet")
+    assert table(spark, str(tmp_path), "t").count() == 10
+    spark.range(10).write.mode("append").parquet(f"{tmp_path}/t.parquet")
+    assert table(spark, str(tmp_path), "t").count() == 20
