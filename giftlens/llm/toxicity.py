@@ -82,10 +82,10 @@ def fit(texts: list[str | None], grades: list[int], params: ToxicityParams = Tox
     y = np.asarray(grades, dtype=np.int64)
     if not len(y) or y.max() == 0:
         return OrdinalModel({}, [30.0 + k for k in range(max(levels - 1, 1))])
-    docs = [features(t) for t in texts]
     df: Counter = Counter()
     high: Counter = Counter()
-    for f, g in zip(docs, grades, strict=True):
+    for t, g in zip(texts, grades, strict=True):
+        f = features(t)
         df.update(f)
         if g:
             high.update(f)
@@ -100,8 +100,8 @@ def fit(texts: list[str | None], grades: list[int], params: ToxicityParams = Tox
     value = np.array([np.log((high[f] + 0.5) / (n_high + 1.0))
                       - np.log((df[f] - high[f] + 0.5) / (n - n_high + 1.0)) for f in names])
     rows, cols = [], []
-    for r, f in enumerate(docs):
-        ids = [index[x] for x in index.keys() & f]
+    for r, t in enumerate(texts):
+        ids = [index[x] for x in index.keys() & features(t)]
         cols.extend(ids)
         rows.extend([r] * len(ids))
     rows, cols = np.asarray(rows, np.int64), np.asarray(cols, np.int64)
