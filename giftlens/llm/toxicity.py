@@ -8,6 +8,7 @@ four- and five-byte beginnings (inflected and compounded insults share a stem).
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -82,10 +83,16 @@ def fit(texts: list[str | None], grades: list[int], params: ToxicityParams = Tox
     y = np.asarray(grades, dtype=np.int64)
     if not len(y) or y.max() == 0:
         return OrdinalModel({}, [30.0 + k for k in range(max(levels - 1, 1))])
+    # Hash bins bound the memory: most features are too rare, and a bin's count
+    # is no less than its features'.
+    bins = np.zeros(1 << 20, np.int32)
+    for t in texts:
+        at = np.array([zlib.crc32(f) for f in features(t)], np.int64) & (len(bins) - 1)
+        np.add.at(bins, at, 1)
     df: Counter = Counter()
     high: Counter = Counter()
     for t, g in zip(texts, grades, strict=True):
-        f = features(t)
+        f = {x for x in features(t) if bins[zlib.crc32(x) & (len(bins) - 1)] >= params.min_docs}
         df.update(f)
         if g:
             high.update(f)
