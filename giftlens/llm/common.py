@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from giftlens.session import scratch_path, shared_dir
+from giftlens.session import scratch_path
 
 # Lower-cases A-Z and turns every ASCII byte outside [0-9a-z] into a blank.
 # Bytes from 0x80 on (all of a non-ASCII character's UTF-8 bytes) stay, so
@@ -25,18 +25,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Run ``df`` once and cut its lineage, by a reliable checkpoint in the
-    shared folder (never on an executor's own disk)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Run ``df`` once and cut its lineage by a table in the shared folder
+    (never on an executor's own disk).  Unlike a checkpoint's, its files are
+    compressed, later steps read only the columns they use, and small files
+    are read together, so a step over few rows has few tasks."""
+    return store(df, "cut")
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Like ``cut`` for wide rows: a compressed table in the shared folder, of
-    which later steps read only the columns they use."""
+    """``cut`` with a name for the folder."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def alnum_words(text: str | None) -> list[bytes]:
