@@ -121,3 +121,7 @@ class Settings:
 
 
 DEFAULT = Settings()
+
+
+class InsufficientData(ValueError):
+    """A documented training guard failed (too few rows, classes or dates)."""

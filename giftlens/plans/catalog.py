@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from giftlens.config import AnalysisParams, ColumnMap, ModelParams
 from giftlens.functions.expr import ntz_lit
-from giftlens.session import shared_dir
+from giftlens.session import stable as _stable
 from pyspark.sql import functions as F
 
 from giftlens.operators import (cleaning, donors, metrics, models, panel, playbook, quality,
@@ -369,8 +369,14 @@ def q_split_time(spark, sf_dir):
 
 @register("split_random")
 def q_split_random(spark, sf_dir):
-    a = q_amount_dataset(spark, sf_dir)
-    return splits.random_split(a, 0.25, 42, key_cols=["ID"]).select("ID", "split")
+    a = _stable(q_amount_dataset(spark, sf_dir).select("ID"))
+    return splits.random_split(a, 0.25, 42, key_cols=["ID"])
+
+
+@register("split_random_stratified")
+def q_split_random_stratified(spark, sf_dir):
+    a = _stable(q_amount_dataset(spark, sf_dir).select("ID", "Gender"))
+    return splits.random_split(a, 0.25, 42, key_cols=["ID"], stratify_col="Gender")
 
 
 @register("class_weights")
@@ -454,14 +460,6 @@ def q_next_date_bands(spark, sf_dir):
 MODELS = ModelParams()
 
 
-def _stable(df):
-    """Cut lineage before iterative training: a reliable checkpoint in the
-    shared folder (``spark.checkpoint.dir``), which survives executor
-    loss -- never a local checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 @register("feature_matrix")
 def q_feature_matrix(spark, sf_dir):
     return models.feature_matrix(q_panel_redonate(spark, sf_dir), C)

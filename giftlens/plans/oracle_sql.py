@@ -451,6 +451,23 @@ WITH p AS ({PANEL_TIME}),
 q AS (SELECT quantile_cont(CAST(epoch_us(CutoffDate) AS DOUBLE), 0.8) AS q FROM p)
 SELECT ID, CutoffDate, CASE WHEN CAST(epoch_us(CutoffDate) AS DOUBLE) <= q.q THEN 'train' ELSE 'test' END AS split
 FROM p, q"""
+ORACLE["split_random"] = f"""
+WITH a AS ({ORACLE["amount_dataset"]}),
+r AS (SELECT ID, row_number() OVER (ORDER BY md5('42:' || ID)) AS k, COUNT(*) OVER () AS n FROM a)
+SELECT ID, CASE WHEN k <= ceil(n * 0.25) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+# Each class gets its share of the test rows, the rest go by largest remainder.
+ORACLE["split_random_stratified"] = f"""
+WITH a AS ({ORACLE["amount_dataset"]}),
+n AS (SELECT Gender, COUNT(*) AS n FROM a GROUP BY Gender),
+t AS (SELECT CAST(ceil(SUM(n) * 0.25) AS BIGINT) AS t, CAST(SUM(n) AS BIGINT) AS tot FROM n),
+p AS (SELECT Gender, (n * t) // tot AS base, (n * t) % tot AS rem, t FROM n, t),
+q AS (SELECT Gender, base, row_number() OVER (ORDER BY rem DESC, Gender) AS pos, t - SUM(base) OVER () AS rest FROM p),
+r AS (SELECT ID, Gender, row_number() OVER (PARTITION BY Gender ORDER BY md5('42:' || ID)) AS k FROM a)
+SELECT r.ID, r.Gender, CASE WHEN k <= base + CASE WHEN pos <= rest THEN 1 ELSE 0 END
+  THEN 'test' ELSE 'train' END AS split
+FROM r JOIN q ON r.Gender = q.Gender"""
+
 ORACLE["class_weights"] = f"""
 WITH p AS ({PANEL_PREFERENCE}), c AS (SELECT TargetCategory, COUNT(*) AS count FROM p GROUP BY TargetCategory)
 SELECT TargetCategory, count, CAST(SUM(count) OVER () AS DOUBLE) / (COUNT(*) OVER () * count) AS weight FROM c"""

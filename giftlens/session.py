@@ -49,6 +49,13 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def stable(df):
+    """``df`` run once, its lineage cut by a reliable checkpoint in the shared
+    folder, which survives the loss of executors."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder (never machine-local
     on a cluster: it lives where ``spark.checkpoint.dir`` points)."""

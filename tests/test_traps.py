@@ -297,3 +297,25 @@ def test_appended_files_are_read(spark, tmp_path):
     assert table(spark, str(tmp_path), "t").count() == 10
     spark.range(10).write.mode("append").parquet(f"{tmp_path}/t.parquet")
     assert table(spark, str(tmp_path), "t").count() == 20
+
+
+def test_random_split_is_exact_and_stratified(spark):
+    from giftlens.operators import splits
+    rows = [(i, "a" if i < 6 else "b" if i < 106 else None) for i in range(113)]
+    df = spark.createDataFrame(rows, "k int, c string")
+    got = splits.random_split(df, 0.25, 7, key_cols=["k"], stratify_col="c").collect()
+    assert sorted(r["k"] for r in got) == list(range(113))
+    n = {c: sum(r["split"] == "test" for r in got if r["c"] == c) for c in ("a", "b", None)}
+    assert sum(n.values()) == 29 and n["b"] in (25, 26) and n["a"] in (1, 2) and n[None] in (1, 2)
+    plain = splits.random_split(df, 0.25, 7, key_cols=["k"]).where("split = 'test'").count()
+    assert plain == 29
+    # Ten classes are not strata, and a repeated key is still counted row by row.
+    many = spark.createDataFrame([(i % 3, str(i % 12)) for i in range(40)], "k int, c string")
+    assert splits.random_split(many, 0.25, 7, ["k"], "c").where("split = 'test'").count() == 10
+    assert splits.random_split(df.limit(0), 0.25, 7, ["k"], "c").count() == 0
+
+
+def test_time_split_without_time_column_is_random(spark):
+    from giftlens.operators import splits
+    df = spark.range(40).toDF("k")
+    assert splits.time_split(df).where("split = 'test'").count() == 10
