@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from giftlens.config import AnalysisParams, ColumnMap
+from giftlens.config import AnalysisParams, ColumnMap, InsufficientData
 from giftlens.functions.agg import last_by, median, money
 from giftlens.functions.expr import MISSING_CATEGORY, add_days, elapsed_days, ntz_lit
 
@@ -36,7 +36,6 @@ _C = ColumnMap()
 _A = AnalysisParams()
 
 LABELS = ("ReDonate", "MajorGift", "DaysToNext", "TargetCategory")
-_SEQ_MIN = -(2 ** 63)
 
 
 # -- cutoffs -----------------------------------------------------------------
@@ -84,8 +83,8 @@ def cutoff_count(start: Column, end: Column, step_months: int) -> Column:
 
 # -- panel ranges --------------------------------------------------------------
 
-def _range_struct(df: DataFrame, kind: str, cols: ColumnMap, params: AnalysisParams) -> Column:
-    """(start, end, n) of the panel ``kind`` as one scalar subquery."""
+def _range(df: DataFrame, kind: str, cols: ColumnMap, params: AnalysisParams) -> DataFrame:
+    """(start, end) of the panel ``kind``, one row."""
     d = F.col(cols.date)
     mn, mx = F.min(d), F.max(d)
     win = params.redonate_window_days
@@ -95,8 +94,20 @@ def _range_struct(df: DataFrame, kind: str, cols: ColumnMap, params: AnalysisPar
         floor_start = ntz_lit(params.min_panel_start)
         start = F.when(floor_start < mn, add_days(mn, 365)).otherwise(floor_start)
         end = add_days(mx, -7) if kind == "time" else add_days(mx, -win)
-    r = df.agg(start.alias("start"), end.alias("end"))
-    r = r.select(
+    return df.agg(start.alias("start"), end.alias("end"))
+
+
+def require_range(df: DataFrame, kind: str, cols: ColumnMap = _C, params: AnalysisParams = _A) -> None:
+    """Raise ``InsufficientData`` if the gifts are too few days for panel
+    ``kind``: what building it would fail with.  Reads one row."""
+    r = _range(df, kind, cols, params).first()
+    if r["start"] is None or r["end"] is None or r["start"] >= r["end"]:
+        raise InsufficientData(f"Insufficient date range for {kind} panel")
+
+
+def _range_struct(df: DataFrame, kind: str, cols: ColumnMap, params: AnalysisParams) -> Column:
+    """(start, end, n) of the panel ``kind`` as one scalar subquery."""
+    r = _range(df, kind, cols, params).select(
         F.when(F.col("start") >= F.col("end"),
                F.raise_error(F.lit(f"Insufficient date range for {kind} panel")))
         .otherwise(F.col("start")).cast("timestamp_ntz").alias("start"),
@@ -354,7 +365,7 @@ def preference_target(df: DataFrame, cols: ColumnMap = _C) -> str:
     for c in (cols.fund, cols.appeal):
         if c and c in df.columns and df.filter(F.col(c).isNotNull()).limit(1).count() > 0:
             return c
-    raise ValueError("Neither Fund nor Appeal columns available")
+    raise InsufficientData("Neither Fund nor Appeal columns available")
 
 
 def amount_dataset(df: DataFrame, cols: ColumnMap = _C, params: AnalysisParams = _A,
@@ -409,6 +420,6 @@ def panel_summary(panel: DataFrame, label: str, name: str | None = None) -> Data
                     "median_label")
 
 
-__all__ = ["build_panel", "Label", "BucketContext", "redonate_label", "major_label",
+__all__ = ["build_panel", "require_range", "Label", "BucketContext", "redonate_label", "major_label",
            "days_to_next_label", "next_category_label", "panel_cutoffs", "donor_demographics", "donor_features_asof",
            "amount_dataset", "panel_summary", "preference_target", "cutoff_at", "bucket_of"]

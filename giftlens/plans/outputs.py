@@ -31,14 +31,14 @@ def write_cleaned(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("Year").parquet(path)
 
 
-def write_reports(reports: dict[str, DataFrame], out: str, run_date: _dt.date | None = None) -> list[str]:
-    """One parquet dataset per report under ``run_date=...``."""
+def write_reports(reports: dict[str, DataFrame], out: str, run_date: _dt.date | None = None) -> dict[str, str]:
+    """One parquet dataset per report under ``run_date=...``; the path of each."""
     run_date = run_date or _dt.date.today()
-    paths = []
+    paths = {}
     for name, df in reports.items():
         p = f"{out.rstrip('/')}/run_date={run_date.isoformat()}/{name}"
         df.write.mode("overwrite").parquet(p)
-        paths.append(p)
+        paths[name] = p
     return paths
 
 

@@ -4,7 +4,8 @@ lists -> models -> playbook -> outputs.
 Mirrors the reference's six stages.  The cleaned slice is written once
 (partitioned by Year) and read back, which both cuts lineage in the
 shared folder and lets every report prune to the slice; reports are lazy
-DataFrames written one by one; models train on checkpointed panels.
+DataFrames written one by one, before any training; models train on
+checkpointed panels.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from giftlens.config import Settings
+from giftlens.config import InsufficientData, Settings
 from giftlens.operators import cleaning, donors, models, panel, playbook, quality, reports, rfm
 from giftlens.plans import outputs
-from giftlens.session import shared_dir
+from giftlens.session import stable
 
 
 @dataclass
@@ -62,11 +63,57 @@ def build_reports(df: DataFrame, s: Settings) -> dict[str, DataFrame]:
     return out
 
 
+def train(df: DataFrame, out_dir: str, settings: Settings, res: RunResult) -> dict[str, DataFrame]:
+    """Fit, save and evaluate the five model families and assemble the playbook.
+
+    A family whose guard fails (too few rows, classes or days of gifts) is
+    noted in ``res.skipped`` and the others go on.  Returns the reports."""
+    c, a, mp = settings.columns, settings.analysis, settings.models
+    out: dict[str, DataFrame] = {}
+    trained = {}
+
+    def panel_of(kind, **kw):
+        panel.require_range(df, kind, c, a)
+        return stable(panel.build_panel(df, kind, c, a, **kw))
+
+    def preference():
+        col = panel.preference_target(df, c)
+        return models.train_preference(panel_of("preference", target_col=col),
+                                       "fund" if col == c.fund else "appeal", c, a, mp)
+
+    for kind, label, name in (("redonate", "ReDonate", "propensity"), ("major", "MajorGift", "major_gift")):
+        try:
+            t = models.train_propensity(panel_of(kind), label, c, a, mp)
+        except InsufficientData as e:
+            res.skipped[name] = str(e)
+            continue
+        out[f"{name}_model_comparison"] = t.comparison
+        for algo, imp in t.importance.items():
+            out[f"field_importance_{name}_{algo}"] = imp
+        for algo, m in t.models.items():
+            outputs.save_model(m, f"{out_dir}/models/{name}_{algo}")
+            res.metrics[f"{name}_{algo}"] = t.metrics[algo]
+    for name, fit in (("amount", lambda: models.train_amount(stable(panel.amount_dataset(df, c, a)), c, a, mp)),
+                      ("time", lambda: models.train_time(panel_of("time"), c, a, mp)),
+                      ("preference", preference)):
+        try:
+            trained[name] = fit()
+        except InsufficientData as e:
+            res.skipped[name] = str(e)
+            continue
+        if trained[name].metrics is not None:
+            res.metrics[name] = trained[name].metrics
+        outputs.save_model(trained[name].model, f"{out_dir}/models/{name}")
+    out["prospecting_playbook"] = playbook.assemble_playbook(
+        df, trained.get("amount"), trained.get("time"), trained.get("preference"), c)
+    return out
+
+
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, settings: Settings = Settings(),
         train_models: bool = True, run_date: _dt.date | None = None) -> RunResult:
     """Run every stage on ``raw`` (typed gifts: see ``cleaning.type_conversions``)."""
     started = _dt.datetime.now()
-    c, a, mp = settings.columns, settings.analysis, settings.models
+    c, a = settings.columns, settings.analysis
     res = RunResult()
     res.quality = quality.validate(raw, c)                       # stage 1b
     outputs.write_anomalies(cleaning.flag_anomalies(raw, c), f"{out_dir}/relationship_flag_anomalies")
@@ -75,39 +122,17 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, settings: Settings =
     # Reading back cuts lineage and lets the Year filter prune partitions.
     df = spark.read.parquet(cleaned_path).filter(F.col("Year") >= a.year_cutoff)
     res.reports = build_reports(df, settings)                    # stage 3 + lists
+    # Reports are written before any training, so a model that can't be trained costs none of them.
+    written = outputs.write_reports(res.reports, f"{out_dir}/reports", run_date)
 
-    if train_models:                                             # stage 4
-        shared_dir(spark)
-        trained = {}
-        for kind, label, name in (("redonate", "ReDonate", "propensity"), ("major", "MajorGift", "major_gift")):
-            try:
-                p = panel.build_panel(df, kind, c, a).checkpoint()
-                t = models.train_propensity(p, label, c, a, mp)
-                res.reports[f"{name}_model_comparison"] = t.comparison
-                for algo, imp in t.importance.items():
-                    res.reports[f"field_importance_{name}_{algo}"] = imp
-                for algo, m in t.models.items():
-                    outputs.save_model(m, f"{out_dir}/models/{name}_{algo}")
-            except models.InsufficientData as e:
-                res.skipped[name] = str(e)
-        for name, fn in (("amount", lambda: models.train_amount(panel.amount_dataset(df, c, a).checkpoint(), c, a, mp)),
-                         ("time", lambda: models.train_time(panel.build_panel(df, "time", c, a).checkpoint(), c, a, mp)),
-                         ("preference", lambda: models.train_preference(
-                             panel.build_panel(df, "preference", c, a).checkpoint(), "fund", c, a, mp))):
-            try:
-                trained[name] = fn()
-                if trained[name].metrics is not None:
-                    res.metrics[name] = trained[name].metrics
-                outputs.save_model(trained[name].model, f"{out_dir}/models/{name}")
-            except models.InsufficientData as e:
-                res.skipped[name] = str(e)
-        res.reports["prospecting_playbook"] = playbook.assemble_playbook(   # stage 5
-            df, trained.get("amount"), trained.get("time"), trained.get("preference"), c)
-
-    outputs.write_reports(res.reports, f"{out_dir}/reports", run_date)   # stage 6
-    if res.metrics:
-        outputs.write_metrics(res.metrics, f"{out_dir}/metrics")
-    outputs.report_manifest(res.reports).write.mode("overwrite").parquet(f"{out_dir}/manifest")
+    if train_models:                                             # stages 4 and 5
+        late = train(df, out_dir, settings, res)
+        written |= outputs.write_reports(late, f"{out_dir}/reports", run_date)
+        res.reports |= late
+        if res.metrics:
+            outputs.write_metrics(res.metrics, f"{out_dir}/metrics")
+    done = {name: spark.read.parquet(path) for name, path in written.items()}
+    outputs.report_manifest(done).write.mode("overwrite").parquet(f"{out_dir}/manifest")   # stage 6
     records = spark.read.parquet(cleaned_path).count()
     outputs.run_record(spark, started, _dt.datetime.now(), records,
                        {"year_cutoff": a.year_cutoff, "major_gift_threshold": a.major_gift_threshold,

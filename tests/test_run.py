@@ -57,3 +57,33 @@ def test_model_roundtrip_and_probabilities(spark):
     assert a == b
     auc = t.comparison.first()["auc"]
     assert auc is None or 0.0 <= auc <= 1.0
+
+
+def _short_run(spark, gifts):
+    out = tempfile.mkdtemp(prefix="giftlens-run-")
+    small = ModelParams(rf_n_estimators=2, gbt_n_estimators=2, time_rf_n_estimators=2, amount_rf_n_estimators=2,
+                        preference_n_estimators=2, lr_max_iter=5, rf_max_depth=2)
+    return out, run.run(spark, gifts, out, Settings(analysis=AnalysisParams(year_cutoff=1990), models=small))
+
+
+def test_short_history_keeps_reports(spark):
+    day = dt.datetime(2020, 1, 1)
+    rows = [(i, f"d{i % 20}", day + dt.timedelta(days=i % 300), 10.0 + i % 7) for i in range(600)]
+    out, res = _short_run(spark, spark.createDataFrame(
+        rows, "ReceiptSeq long, ID string, Date timestamp_ntz, Amount double"))
+    assert set(res.skipped) == {"propensity", "major_gift", "amount", "time", "preference"}
+    assert not res.metrics
+    made = os.listdir(f"{out}/reports/run_date={dt.date.today().isoformat()}")
+    assert {"trend_year", "rfm_table", "prospecting_playbook"} <= set(made)
+
+
+def test_appeals_only_are_called_appeals(spark):
+    day = dt.datetime(2012, 1, 1)
+    rows = [(i, f"d{i % 40}", day + dt.timedelta(days=(i * 13) % 2900), 10.0 + i % 7, "AB"[i // 3 % 2])
+            for i in range(1200)]
+    out, res = _short_run(spark, spark.createDataFrame(
+        rows, "ReceiptSeq long, ID string, Date timestamp_ntz, Amount double, Appeal string"))
+    book = res.reports["prospecting_playbook"].columns
+    assert "top1_appeal" in book and "top1_fund" not in book
+    made = set(os.listdir(f"{out}/metrics"))
+    assert {"propensity_LogisticRegression_metrics.json", "preference_metrics.json"} <= made
