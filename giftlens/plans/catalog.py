@@ -96,6 +96,30 @@ for _key, _col in (("dist_gender", C.gender), ("dist_occupation", C.occupation_d
     register(_key)(_dist(_col))
 
 
+def _aged(gifts):
+    """Fixture ages from the donor's key: 20 to 69 in the first year of the
+    data, none for every ninth donor."""
+    k = F.col("ID").cast("long")
+
+    def decade(age):
+        low = (age - age % 10).cast("long")
+        return F.when(k % 9 > 0, F.concat(low.cast("string"), F.lit("-"), (low + 9).cast("string")))
+
+    return gifts.withColumns({"AgeGroup": decade(k % 50 + 20),
+                              "AgeGroupAtDonation": decade(k % 50 + 20 + F.col("Year") - 1995)})
+
+
+@register("dist_agegroup")
+def q_dist_agegroup(spark, sf_dir):
+    return reports.distribution(_aged(core_gifts(spark, sf_dir)), "AgeGroup", 50, C)
+
+
+@register("relationship_agegroup")
+def q_relationship_agegroup(spark, sf_dir):
+    gifts = clean_gifts(spark, sf_dir, GIFT_CORE + tuple(C.relationship))
+    return reports.relationship_by_group(_aged(gifts), "AgeGroupAtDonation", C)
+
+
 @register("appeal_performance")
 def q_appeal_performance(spark, sf_dir):
     return reports.appeal_performance(clean_gifts(spark, sf_dir, GIFT_CORE + ("Appeal",)), C)

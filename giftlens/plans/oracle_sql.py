@@ -107,6 +107,35 @@ ORACLE["dist_suburb"] = _dist("Suburb", 50)
 ORACLE["appeal_performance"] = _dist("Appeal", None)
 ORACLE["fund_performance"] = _dist("Fund", None)
 
+
+def _decade(age: str) -> str:
+    low = f"CAST(({age}) - ({age}) % 10 AS BIGINT)"
+    return (f"CASE WHEN CAST(ID AS BIGINT) % 9 > 0 THEN "
+            f"CONCAT(CAST({low} AS VARCHAR), '-', CAST({low} + 9 AS VARCHAR)) END")
+
+
+AGED = CLEAN + f""",
+aged AS (
+  SELECT *, {_decade("CAST(ID AS BIGINT) % 50 + 20")} AS AgeGroup,
+    {_decade("CAST(ID AS BIGINT) % 50 + 20 + Year - 1995")} AS AgeGroupAtDonation
+  FROM clean
+)"""
+
+ORACLE["dist_agegroup"] = f"""
+WITH {AGED}
+SELECT AgeGroup, {money()} AS total_amount, COUNT(DISTINCT ID) AS donors, COUNT(*) AS donation_count,
+  {money()} / COUNT(*) AS avg_amount_per_donation, {money()} / COUNT(DISTINCT ID) AS avg_amount_per_donor
+FROM aged WHERE AgeGroup IS NOT NULL GROUP BY AgeGroup"""
+
+ORACLE["relationship_agegroup"] = f"""
+WITH {AGED}
+SELECT CurrentParent, PastParent, PastStudent, FutureParent, AgeGroupAtDonation,
+  COUNT(DISTINCT ID) AS donor_count, COUNT(*) AS donation_count, {money()} AS total_amount,
+  {money()} / COUNT(*) AS avg_amount_per_donation, {money()} / COUNT(DISTINCT ID) AS avg_amount_per_donor
+FROM aged WHERE AgeGroupAtDonation IS NOT NULL AND CurrentParent IS NOT NULL AND PastParent IS NOT NULL
+  AND PastStudent IS NOT NULL AND FutureParent IS NOT NULL
+GROUP BY CurrentParent, PastParent, PastStudent, FutureParent, AgeGroupAtDonation"""
+
 ORACLE["relationship_summary"] = f"""
 WITH {CLEAN}
 SELECT CurrentParent, PastParent, PastStudent, FutureParent,
