@@ -121,14 +121,14 @@ def _sketches(p: NearDedupParams):
         hashes, mul = WordHashes(), _constants(p.bands * p.rows, 7)
         for b in batches:
             n, ck, sk = [], [], []
-            for text in b.column(1):
+            for text in b.column(0):
                 s = shingle_set(blank_words(text.as_py()), p.shingle, hashes)
                 n.append(len(s))
                 ck.append(_set_key(s) if len(s) else None)
                 sk.append(sketch(s, mul, p).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(ck, pa.binary()),
-                 pa.array(sk, pa.binary())], names=["doc_id", "n_shingles", "ck", "sketch"])
+                [*b.columns[1:], pa.array(n, pa.int64()), pa.array(ck, pa.binary()),
+                 pa.array(sk, pa.binary())], names=[*b.schema.names[1:], "n_shingles", "ck", "sketch"])
     return run
 
 
@@ -312,6 +312,16 @@ def _confirm(members: DataFrame, texts: DataFrame, p: NearDedupParams) -> DataFr
             .mapInArrow(_exact_links(p), "u binary, v binary"))
 
 
+def _row_keys(docs: DataFrame) -> list:
+    """Columns that tell rows apart, null ids too: the id, two hashes of the
+    text and one of the other columns."""
+    others = [F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]
+    text = F.col("text").cast("string")
+    return [F.col("doc_id").cast("long").alias("key_id"), F.xxhash64(text).alias("key_t1"),
+            F.xxhash64(F.lit(1), text).alias("key_t2"),
+            F.xxhash64(F.lit(0), *[x for c in others for x in (c.isNull(), c)]).alias("key_row")]
+
+
 def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``.
 
@@ -322,12 +332,27 @@ def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()
     Repeated rows are equal sets, so they share a component.  An empty table
     gives an empty result.
     """
+    base, ids = _classes(docs, [F.col("doc_id").cast("long").alias("doc_id")], params)
+    least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ids = ids.join(least, "root").select("ck", "component_id")
+    return (base.select("doc_id", "n_shingles", "ck").join(ids, "ck", "left")
+            .select("doc_id", "n_shingles",
+                    F.when(F.col("n_shingles") > 0, F.col("component_id"))
+                    .otherwise(F.col("doc_id")).alias("component_id"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def _classes(docs: DataFrame, keys: list, params: NearDedupParams) -> tuple[DataFrame, DataFrame]:
+    """``(base, ids)``: the ``keys`` (the id first) with n_shingles and the class
+    ck, a row per row of ``docs``; and (ck, rep, root), a row per class."""
     p = params
-    base = cut(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-               .mapInArrow(_sketches(p), "doc_id long, n_shingles long, ck binary, sketch binary"))
+    rows = docs.select(F.col("text").cast("string").alias("text"), *keys)
+    names = rows.columns[1:]
+    base = cut(rows.mapInArrow(_sketches(p), ", ".join(f"{c} long" for c in names)
+                               + ", n_shingles long, ck binary, sketch binary"))
     classes = cut(base.where("n_shingles > 0")
                   .groupBy("ck", F.col("n_shingles").alias("n"), "sketch")
-                  .agg(F.min("doc_id").alias("rep")))
+                  .agg(F.min(names[0]).alias("rep")))
     keys = classes.select("ck", "sketch", "n").mapInArrow(_band_keys(p), "ck binary, n long, key long")
     buckets = (keys.groupBy("key")
                .agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("total"),
@@ -371,23 +396,28 @@ def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()
         roots = components(links.union(_confirm(left, texts, p)))
 
     ids = classes.select("ck", "rep").join(roots.withColumnRenamed("node", "ck"), "ck", "left")
-    ids = ids.withColumn("root", F.coalesce("root", "ck"))
-    least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
-    ids = ids.join(least, "root").select("ck", "component_id")
-    return (base.select("doc_id", "n_shingles", "ck").join(ids, "ck", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("component_id"))
-                    .otherwise(F.col("doc_id")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return base, ids.withColumn("root", F.coalesce("root", "ck"))
 
 
 def drop_near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: one of each component.
-    Rows repeating both id and text collapse into one."""
-    gone = near_duplicates(docs, params).where(~F.col("kept")).select(
-        F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(gone, docs.doc_id.cast("long").eqNullSafe(gone.gone_id), "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """The rows of ``docs`` that stay, all columns: one row of each component,
+    that of the smallest id (null ids last, then by the text's hash), and every
+    row without words.  Rows are told apart by id, text and the other columns,
+    so neither a null nor a shared id takes another text along; only rows equal
+    in every column are one document seen twice."""
+    names = ["key_id", "key_t1", "key_t2", "key_row"]
+    base, ids = _classes(docs, _row_keys(docs), params)
+    order = F.struct(F.col("key_id").isNull().alias("last"), *names)
+    first = base.where("n_shingles > 0").groupBy("ck").agg(F.min(order).alias("first")).join(ids.select("ck", "root"), "ck")
+    stay = first.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    # Join keys without nulls: rows that stay are told apart where the join puts them.
+    plain = [F.col("key_id").isNull().alias("key_none"), F.coalesce("key_id", F.lit(0)).alias("key_some")]
+    keys = ["key_none", "key_some", *names[1:]]
+    stay = stay.select(*plain, *names[1:], F.lit(True).alias("stays"))
+    words = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    src = docs.select(F.struct(*docs.columns).alias("row"), words.alias("has_words"), *_row_keys(docs))
+    both = src.select("row", "has_words", *plain, *names[1:]).join(stay, keys, "left")
+    return both.where(~F.col("has_words") | F.col("stays")).dropDuplicates(keys).select("row.*")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,27 @@ def test_near_dedup_brute_force(spark):
     assert kept == {d for d, (_, c) in want.items() if d == c}
 
 
+def test_near_dedup_decides_by_row(spark):
+    rng = random.Random(12)
+    a, b, c, d, e = (sentence(rng, 60) for _ in range(5))
+    rows = [(1, a, 0), (None, a, 0),                                  # a copy without an id
+            (None, b, 0), (None, None, 0), (None, None, 1),           # rows of their own
+            (2, a + " more", 0), (2, c, 0),                           # a copy and another text share an id
+            (None, d, 0), (None, d + " x", 0), (None, d, 0),          # copies, none has an id
+            (3, e, 0), (3, e, 1), (4, "", 0), (4, "", 1), (4, "", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    out = [tuple(r) for r in near_dedup.drop_near_duplicates(df).collect()]
+    texts = [t for _, t, _ in out]
+    assert (1, a, 0) in out and (None, b, 0) in out and (2, c, 0) in out and not texts.count(a + " more")
+    assert texts.count(a) == texts.count(b) == texts.count(e) == 1
+    assert len([t for t in texts if t and t.startswith(d)]) == 1
+    assert sorted(n for i, t, n in out if i is None and t is None) == [0, 1]
+    assert sorted(n for i, t, n in out if i == 4) == [0, 1]
+    assert len(out) == 9
+    left = near_dedup.drop_near_duplicates(awkward(spark)).collect()
+    assert [r.text for r in left if r.doc_id is None] == [None]
+
+
 def test_sketch_estimates():
     p = near_dedup.NearDedupParams()
     mul = near_dedup._constants(p.bands * p.rows, 7)
