@@ -134,6 +134,19 @@ def test_near_dedup_decides_by_row(spark):
     assert [r.text for r in left if r.doc_id is None] == [None]
 
 
+def test_pipeline_near_dedup_from_080(spark):
+    rng = random.Random(13)
+    docs = []
+    for k in range(12):                                               # one changed word: 5 shingles of 50 differ
+        w = sentence(rng, 54).split()
+        docs += [(2 * k, " ".join(w)), (2 * k + 1, " ".join([*w[:25], "changed", *w[26:]]))]
+    docs += [(100, "a b c d e f g"), (101, "a b c d e f h")]          # 2 of 4 shingles
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = corpus_pipeline.stage_near_dedup(spark, df, SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(0, 24, 2), 100, 101]
+    assert near_dedup.drop_near_duplicates(df).count() == len(docs)   # op7's threshold: 45 / 55 is below 0.85
+
+
 def test_sketch_estimates():
     p = near_dedup.NearDedupParams()
     mul = near_dedup._constants(p.bands * p.rows, 7)
