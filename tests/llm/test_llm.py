@@ -282,6 +282,47 @@ def test_line_dedup(spark):
     assert len(set(got.values())) < len(got)
 
 
+def test_line_dedup_finds_every_similar_pair(spark):
+    rng = random.Random(21)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            prev, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+        return row[-1]
+
+    lines = ["na na na na na na na na", "na na na na na na na", "ba na ba na ba na ba", "na ba na ba na ba na"]
+    for n in [5, 6, 7, 8, 9, 10, 11, 14, 15, 19, 20, 24, 30, 49, 60, 100] * 3:
+        base = [rng.choice(WORDS[:4]) if rng.random() < 0.3 else rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(n)]
+        lines.append(" ".join(base))
+        for d in {n // 5, n // 4, n // 5 + 1, 1}:
+            w = list(base)
+            for _ in range(d):
+                k, how = rng.randrange(len(w)), rng.randrange(4)
+                w[k:k + 1] = [["new"], [w[k], "new"], [], [w[k], w[k]]][how]
+            lines.append(" ".join(w))
+        lines.append(", ".join(base) + ".")
+    lines = sorted(set(lines))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    table, roots = line_dedup.line_groups(df)
+    doc = {r.key: r["at"].doc_id for r in table.collect()}
+    got = {doc[r.key]: r.root for r in roots.collect()}
+    words = [re.findall("[a-z0-9]+", x) for x in lines]
+    root = list(range(len(lines)))
+    for a in range(len(lines)):
+        for b in range(a):
+            u, v = words[a], words[b]
+            if min(len(u), len(v)) >= 5 and distance(u, v) <= 0.2 * max(len(u), len(v)) + 1e-9:
+                ra, rb = root[a], root[b]
+                root = [rb if x == ra else x for x in root]
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a)]
+    wrong = [(lines[a], lines[b]) for a, b in pairs if (got.get(a, a) == got.get(b, b)) != (root[a] == root[b])]
+    assert not wrong
+    assert 40 < sum(root[a] == root[b] for a, b in pairs)
+
+
 # --- URL filter
 
 def test_url_rules_and_propagation(spark):
