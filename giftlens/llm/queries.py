@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from giftlens.llm import (chat_format, decontam, line_dedup, lm_score, mixing, near_dedup,
+from giftlens.llm import (chat_format, conversation_trie, decontam, line_dedup, lm_score, mixing, near_dedup,
                           quality_rules, secrets, toxicity, url_filter)
 
 
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8,
         "op9_quality": quality_rules.op9,
         "op10_line_dedup": line_dedup.op10,
+        "op11_conversation_trie": conversation_trie.op11,
     }
 
 
@@ -28,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_mix": mixing.ORACLE,
         "op7_near_dedup": near_dedup.ORACLE,
         "op9_quality": quality_rules.ORACLE,
+        "op11_conversation_trie": conversation_trie.ORACLE,
     }
