@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from giftlens.llm import (chat_format, conversation_trie, decontam, line_dedup, lm_score, mixing, near_dedup,
-                          quality_rules, secrets, toxicity, url_filter)
+                          partition_search, quality_rules, secrets, toxicity, url_filter, whitening)
 
 
 def queries() -> dict:
@@ -19,6 +19,8 @@ def queries() -> dict:
         "op9_quality": quality_rules.op9,
         "op10_line_dedup": line_dedup.op10,
         "op11_conversation_trie": conversation_trie.op11,
+        "op12_whitening": whitening.op12,
+        "op13_partition_search": partition_search.op13,
     }
 
 
