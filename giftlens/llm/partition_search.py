@@ -43,7 +43,7 @@ class SearchParams:
     hidden: int = 64
     epochs: int = 30
     rate: float = 0.01
-    recall: float = 0.96
+    recall: float = 0.94
     block: int = 4096
     top: int = 5
     seed: int = 13
