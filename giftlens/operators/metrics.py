@@ -8,42 +8,28 @@ aggregation, not a driver loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from giftlens.functions.agg import quantile
+from giftlens.functions.quantiles import quantiles, sort_key, sum_below
 
-AUC_BUCKETS = 65_536
 ROUND = 9
 
 
 def auc(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
     """Exact ROC AUC (ties count one half) by rank sums over distinct
-    scores.  The prefix count of negatives is distributed: scores fall
-    into fixed value buckets; the bucket totals (at most ``AUC_BUCKETS``
-    rows) carry the offset and a per-bucket window does the rest.  Null
-    when only one class is present."""
+    scores.  The negatives below a score are summed up through levels of the
+    scores' bits, so scores that crowd together are dealt out as well as
+    spread ones; no window holds more than a level's buckets.  Rows without a
+    score are in no pair but count in the classes' sizes.  Null when only one
+    class is present."""
     s, y = F.col(score).cast("double"), F.col(label)
-    per = df.groupBy(s.alias("s")).agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
-    rng = per.agg(F.min("s").alias("lo"), F.max("s").alias("hi"),
-                  F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(
-        F.struct("lo", "hi", "P", "N")).scalar()
-    per = per.withColumn("__r", rng)
-    width = F.col("__r.hi") - F.col("__r.lo")
-    b = F.when(width > 0, F.least(F.floor((F.col("s") - F.col("__r.lo")) / width * AUC_BUCKETS),
-                                  F.lit(AUC_BUCKETS - 1))).otherwise(F.lit(0)).cast("int")
-    per = per.withColumn("b", b)
-    tot = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    # Offsets over at most AUC_BUCKETS rows (bounded by the constant).
-    tot = tot.withColumn("off", F.coalesce(F.sum("bneg").over(
-        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("inb", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    j = per.join(tot.select("b", "off"), "b")
-    out = j.agg(F.sum(F.col("pos") * (F.col("off") + F.col("inb") + F.col("neg") * 0.5)).alias("num"),
-                F.first("__r.P").alias("P"), F.first("__r.N").alias("N"))
-    return out.select(F.when((F.col("P") > 0) & (F.col("N") > 0),
-                             F.round(F.col("num") / (F.col("P") * F.col("N")), ROUND)).alias("auc"))
+    per = df.groupBy(sort_key(s).alias("k")).agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
+    size = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(F.struct("P", "N")).scalar()
+    num = sum_below(per, "k", "neg", "below").agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") * 0.5)).alias("num"))
+    return num.withColumn("z", size).select(F.when((F.col("z.P") > 0) & (F.col("z.N") > 0), F.round(
+        F.coalesce("num", F.lit(0.0)) / (F.col("z.P") * F.col("z.N")), ROUND)).alias("auc"))
 
 
 def _per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -109,6 +95,8 @@ def residual_quantiles(df: DataFrame, actual: str = "actual", predicted: str = "
                        exact: bool = True) -> DataFrame:
     """p20 / median / p80 of residuals (actual - predicted)."""
     r = F.col(actual).cast("double") - F.col(predicted).cast("double")
-    q = df.agg(quantile(r, [0.2, 0.5, 0.8], exact).alias("q"))
+    qs = [0.2, 0.5, 0.8]
+    q = (df.sparkSession.range(1).select(quantiles(df, {"r": r}, qs)["r"].alias("q")) if exact else
+         df.agg(quantile(r, qs, False).alias("q")))
     return q.select(F.col("q")[0].alias("residual_p20"), F.col("q")[1].alias("residual_median"),
                     F.col("q")[2].alias("residual_p80"))

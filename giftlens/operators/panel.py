@@ -22,15 +22,17 @@ Work is O(gifts + donors x cutoffs) with two shuffles on the donor key.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as _dt
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from giftlens.config import AnalysisParams, ColumnMap, InsufficientData
-from giftlens.functions.agg import last_by, median, money
+from giftlens.functions.agg import median, money, order_number
 from giftlens.functions.expr import MISSING_CATEGORY, add_days, elapsed_days, ntz_lit
+from giftlens.functions.quantiles import grouped_quantiles
 
 _C = ColumnMap()
 _A = AnalysisParams()
@@ -146,10 +148,15 @@ def _attach_attributes(result: DataFrame, attributes: DataFrame | None, cols: Co
     extra = [c for c in cols.demographics if c in attributes.columns and c != cols.donor_id]
     if not extra:
         return result
-    j = result.join(attributes.select(cols.donor_id, *extra), cols.donor_id, "left")
-    # Donors without an attribute row get what blank attributes are cleaned to.
-    flags = [c for c in extra if c in cols.relationship]
-    j = j.fillna(0, subset=flags).fillna(MISSING_CATEGORY, subset=[c for c in extra if c not in flags])
+    j = result.join(attributes.select(cols.donor_id, *extra, F.lit(True).alias("__found")), cols.donor_id, "left")
+
+    def blank(c):
+        if c in cols.relationship:
+            return F.lit(0)
+        return F.lit(MISSING_CATEGORY if dict(attributes.dtypes)[c] == "string" else None)
+
+    # Donors without an attribute row, and only they, get what blank attributes are cleaned to.
+    j = j.withColumns({c: F.when(F.col("__found"), F.col(c)).otherwise(blank(c)) for c in extra}).drop("__found")
     demo_order = [c for c in cols.demographics if c in j.columns]
     head = [c for c in order if c not in cols.demographics and c not in ("CutoffDate",) + LABELS
             and c != "FutureMedianAmount"]
@@ -158,17 +165,36 @@ def _attach_attributes(result: DataFrame, attributes: DataFrame | None, cols: Co
 
 
 def donor_demographics(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
-    """Latest demographic row per donor by (date, input order); no
-    sort -- a partial + final ``max_by`` aggregation."""
+    """Latest demographic row per donor by (date, input order).  Gifts
+    are first hash-aggregated to the latest of each of a donor's different
+    demographics; only those few rows are compared as rows."""
     demo = _demo_cols(df, cols)
     seq = F.col(cols.seq) if cols.seq in df.columns else None
-    t = df.groupBy(cols.donor_id).agg(
-        last_by(F.struct(*[F.col(c) for c in demo]), F.col(cols.date), seq).alias("__demo"))
+    latest = df.groupBy(cols.donor_id, *demo).agg(F.max(order_number(F.col(cols.date), seq)).alias("__k"))
+    t = latest.groupBy(cols.donor_id).agg(F.max_by(F.struct(*demo), "__k").alias("__demo"))
     return t.select(cols.donor_id, *[F.col("__demo")[c].alias(c) for c in demo])
 
 
 # -- as-of features for one cutoff -----------------------------------------------
 
+def _history(df: DataFrame, hist: Column, demo: list[str], seq: Column | None, cols: ColumnMap) -> DataFrame:
+    """Per donor the gifts that are ``hist`` (up to ``__cut``) summed up, and the latest
+    demographics of all gifts.  Gifts are hash-aggregated per donor and different
+    demographics; what is left of them is merged."""
+    d, a = F.col(cols.date), F.col(cols.amount)
+    key = order_number(d, seq)
+    t = df.groupBy(cols.donor_id, *demo).agg(
+        F.count_if(hist).alias("Frequency"), F.sum(F.when(hist, money(a))).alias("__sum"), F.max(F.when(hist, d)).alias("__last"),
+        F.max_by(F.when(hist, a), F.when(hist, key)).alias("LastAmount"), F.max(F.when(hist, key)).alias("__lk"),
+        F.max(key).alias("__k"), F.first("__cut").alias("__cut"))
+    if not demo:
+        return t
+    return t.groupBy(cols.donor_id).agg(
+        F.sum("Frequency").alias("Frequency"), F.sum("__sum").alias("__sum"), F.max("__last").alias("__last"),
+        F.max_by("LastAmount", "__lk").alias("LastAmount"), F.first("__cut").alias("__cut"),
+        F.max_by(F.struct(*demo), "__k").alias("__demo"))
+
+
 def donor_features_asof(df: DataFrame, cutoff: Column, cols: ColumnMap = _C,
                         demographics: bool = True, attributes: DataFrame | None = None) -> DataFrame:
     """A13 (+J4): features of each donor with a gift at or before
@@ -179,14 +205,7 @@ def donor_features_asof(df: DataFrame, cutoff: Column, cols: ColumnMap = _C,
     df = df.withColumn("__cut", cutoff)
     hist = d <= F.col("__cut")
     demo = _demo_cols(df, cols, attributes) if demographics else []
-    aggs = [F.count_if(hist).alias("Frequency"),
-            F.sum(F.when(hist, money(a))).alias("__sum"),
-            F.max(F.when(hist, d)).alias("__last"),
-            F.max_by(F.when(hist, a), F.when(hist, F.struct(d.alias("d"), (seq if seq is not None else F.lit(0)).alias("s")))).alias("LastAmount"),
-            F.first("__cut").alias("__cut")]
-    if demo:
-        aggs.append(last_by(F.struct(*[F.col(c) for c in demo]), d, seq).alias("__demo"))
-    t = df.groupBy(cols.donor_id).agg(*aggs).filter(F.col("Frequency") > 0)
+    t = _history(df, hist, demo, seq, cols).filter(F.col("Frequency") > 0)
     out = t.select(
         cols.donor_id,
         elapsed_days(F.col("__last"), F.col("__cut")).alias("Recency"),
@@ -200,9 +219,13 @@ def donor_features_asof(df: DataFrame, cutoff: Column, cols: ColumnMap = _C,
 
 def build_panel(df: DataFrame, kind="redonate", cols: ColumnMap = _C,
                 params: AnalysisParams = _A, target_col: str | None = None,
-                attributes: DataFrame | None = None) -> DataFrame:
+                attributes: DataFrame | None = None, cutoffs: Sequence[_dt.datetime] | None = None) -> DataFrame:
     """Features as of every cutoff of panel ``kind`` plus its label.
 
+    ``cutoffs``: the cutoff dates to use, in any order, repeated ones once;
+    without them the panel's own (W10) are used.  An empty list raises
+    ``InsufficientData``.
+
     kind: ``redonate`` (ReDonate 0/1, left), ``major`` (MajorGift 0/1,
     left), ``time`` (DaysToNext > 0, inner), ``preference``
     (TargetCategory, inner; target = fund if any non-null, else appeal),
@@ -212,14 +235,14 @@ def build_panel(df: DataFrame, kind="redonate", cols: ColumnMap = _C,
     demographics; they are joined onto the finished panel instead of onto
     every gift, so the raw gifts are only ever shuffled pre-aggregated.
     """
-    out = _build_panel(df, kind, cols, params, target_col, attributes)
+    out = _build_panel(df, kind, cols, params, target_col, attributes, cutoffs)
     return _attach_attributes(out, attributes, cols, out.columns)
 
 
 @dataclass(frozen=True)
 class BucketContext:
     """What a label's per-bucket aggregate can use: the gift columns, the
-    (date, input order) key and the analysis parameters."""
+    (date, input order) key (a number) and the analysis parameters."""
     date: Column
     amount: Column
     key: Column
@@ -243,6 +266,11 @@ class Label:
     cutoff range: ``"redonate"``/``"major"`` (first gift + 365 d to latest
     - window), ``"time"`` (panel start to latest - 7 d) or
     ``"preference"`` (panel start to latest - window).
+
+    With ``merge`` the gifts of a bucket are aggregated in two steps: per
+    demographics and columns of ``split``, where ``per_bucket`` should be
+    hash-aggregatable (no strings), then ``merge(per_bucket's result, first
+    key)`` over these rows.  Without it in one.
     """
     name: str
     per_bucket: Callable[[BucketContext], Column]
@@ -251,20 +279,26 @@ class Label:
     keep: str = "left"
     default: object = 0
     range: str = "redonate"
+    merge: Callable[[Column, Column], Column] | None = None
+    split: tuple[str, ...] = ()
+
+
+def _earliest(lab: Column, key: Column) -> Column:
+    return F.min(lab)
 
 
 def redonate_label() -> Label:
     """Any gift in (cutoff, cutoff + window]."""
     return Label("ReDonate", lambda x: F.min(x.date), "first",
                  lambda nxt, cut, hz: F.when(nxt.isNotNull() & (nxt <= hz), 1).otherwise(0).cast("int"),
-                 "left", 0, "redonate")
+                 "left", 0, "redonate", _earliest)
 
 
 def major_label(threshold: float) -> Label:
     """Any gift >= threshold in (cutoff, cutoff + window]."""
     return Label("MajorGift", lambda x: F.min(F.when(x.amount >= F.lit(threshold), x.date)), "min",
                  lambda nxt, cut, hz: F.when(nxt.isNotNull() & (nxt <= hz), 1).otherwise(0).cast("int"),
-                 "left", 0, "major")
+                 "left", 0, "major", _earliest)
 
 
 def days_to_next_label() -> Label:
@@ -272,16 +306,18 @@ def days_to_next_label() -> Label:
     def value(nxt, cut, hz):
         days = elapsed_days(cut, nxt)
         return F.when(days > 0, days)
-    return Label("DaysToNext", lambda x: F.min(x.date), "first", value, "inner", None, "time")
+    return Label("DaysToNext", lambda x: F.min(x.date), "first", value, "inner", None, "time", _earliest)
 
 
 def next_category_label(target_col: str) -> Label:
     """fund/appeal of the first gift in the window with a value."""
-    def per_bucket(x):
-        t = F.col(target_col)
-        return F.min_by(F.struct(x.date.alias("d"), t.alias("t")), F.when(t.isNotNull(), x.key))
-    return Label("TargetCategory", per_bucket, "first",
-                 lambda nxt, cut, hz: F.when(nxt["d"] <= hz, nxt["t"]), "inner", None, "preference")
+    t = F.col(target_col)
+
+    def merge(first, key):
+        return F.min_by(F.struct(first.alias("d"), t.alias("t")), F.when(t.isNotNull(), key))
+
+    return Label("TargetCategory", lambda x: F.min(x.date), "first",
+                 lambda nxt, cut, hz: F.when(nxt["d"] <= hz, nxt["t"]), "inner", None, "preference", merge, (target_col,))
 
 
 def _label_for(kind, df, cols, params, target_col) -> Label:
@@ -298,26 +334,77 @@ def _label_for(kind, df, cols, params, target_col) -> Label:
     raise ValueError(f"unknown panel kind {kind!r}")
 
 
-def _build_panel(df, kind, cols, params, target_col, attributes):
-    step = params.panel_step_months
+class _Quarters:
+    """The panel's own cutoffs: quarter ends, by arithmetic."""
+
+    def __init__(self, df, label, cols, params):
+        self.range, self.step = _range_struct(df, label.range, cols, params), params.panel_step_months
+        self.n = F.col("__r.n")
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("__r", self.range)
+
+    def bucket(self, d: Column) -> Column:
+        return bucket_of(d, F.col("__r.start"), F.col("__r.n"), self.step)
+
+    def at(self, i: Column) -> Column:
+        return cutoff_at(F.col("__r.start"), i, self.step)
+
+
+class _Given:
+    """A caller's cutoffs, sorted, each once."""
+
+    def __init__(self, cutoffs: Sequence[_dt.datetime]):
+        dates = sorted(set(cutoffs))
+        if not dates:
+            raise InsufficientData("No cutoff dates given")
+        self.dates, self.count, self.n = F.array(*[ntz_lit(c) for c in dates]), len(dates), F.lit(len(dates))
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("__r", self.dates)
+
+    def bucket(self, d: Column) -> Column:
+        """How many cutoffs lie before ``d``, by bisection: halving steps are taken
+        while the cutoff they would pass is still before."""
+        steps = [2**i for i in reversed(range(self.count.bit_length()))]
+        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: F.when(
+            (at + s <= self.count) & (F.get("__r", at + s - 1) < d), at + s).otherwise(at))
+
+    def at(self, i: Column) -> Column:
+        return F.get("__r", i)
+
+
+def _build_panel(df, kind, cols, params, target_col, attributes, cutoffs=None):
     win = params.redonate_window_days
     d, a = F.col(cols.date), F.col(cols.amount)
-    seq = F.col(cols.seq) if cols.seq in df.columns else F.lit(0).cast("long")
+    seq = F.col(cols.seq) if cols.seq in df.columns else None
     demo = _demo_cols(df, cols, attributes)
     label = _label_for(kind, df, cols, params, target_col)
 
-    rng = _range_struct(df, label.range, cols, params)
-    g = df.withColumn("__r", rng)
-    g = g.withColumn("b", bucket_of(d, F.col("__r.start"), F.col("__r.n"), step))
+    cuts = _Given(cutoffs) if cutoffs is not None else _Quarters(df, label, cols, params)
+    g = cuts.attach(df)
+    g = g.withColumn("b", cuts.bucket(d))
 
-    key = F.struct(d.alias("d"), seq.alias("s"))
+    key = order_number(d, seq)
     ctx = BucketContext(d, a, key, params)
     aggs = [F.count(F.lit(1)).alias("cnt"), F.sum(money(a)).alias("amt"),
             F.max(d).alias("max_d"), F.max_by(a, key).alias("last_amt"),
-            F.first("__r").alias("__r"), label.per_bucket(ctx).alias("lab_b")]
-    if demo:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in demo]), key).alias("demo"))
-    pre = g.groupBy(cols.donor_id, "b").agg(*aggs)
+            label.per_bucket(ctx).alias("lab_b")]
+    if label.merge is None:
+        if demo:
+            aggs.append(F.max_by(F.struct(*[F.col(c) for c in demo]), key).alias("demo"))
+        pre = g.groupBy(cols.donor_id, "b").agg(*aggs)
+    else:
+        parts = list(dict.fromkeys([*demo, *label.split]))
+        pre = g.groupBy(cols.donor_id, "b", *parts).agg(*aggs, F.max(key).alias("max_k"), F.min(key).alias("min_k"))
+        if parts:
+            merged = [F.sum("cnt").alias("cnt"), F.sum("amt").alias("amt"), F.max("max_d").alias("max_d"),
+                      F.max_by("last_amt", "max_k").alias("last_amt"),
+                      label.merge(F.col("lab_b"), F.col("min_k")).alias("lab_b")]
+            if demo:
+                merged.append(F.max_by(F.struct(*[F.col(c) for c in demo]), "max_k").alias("demo"))
+            pre = pre.groupBy(cols.donor_id, "b").agg(*merged)
+    pre = cuts.attach(pre)
 
     # One row per (donor, bucket): the window is bounded by the cutoff count.
     w = Window.partitionBy(cols.donor_id).orderBy("b")
@@ -334,10 +421,10 @@ def _build_panel(df, kind, cols, params, target_col, attributes):
     pw = pre.withColumns(cols_w)
 
     # Each bucket row stands for the cutoffs up to the donor's next bucket.
-    n = F.col("__r.n")
+    n = cuts.n
     last_i = F.least(F.coalesce(F.col("next_b"), n), n) - 1
     ex = pw.filter(F.col("b") < n).withColumn("i", F.explode(F.sequence(F.col("b"), last_i)))
-    ex = ex.withColumn("CutoffDate", cutoff_at(F.col("__r.start"), F.col("i"), step))
+    ex = ex.withColumn("CutoffDate", cuts.at(F.col("i")))
     horizon = add_days(F.col("CutoffDate"), win)
 
     feats = [F.col(cols.donor_id),
@@ -371,26 +458,21 @@ def preference_target(df: DataFrame, cols: ColumnMap = _C) -> str:
 def amount_dataset(df: DataFrame, cols: ColumnMap = _C, params: AnalysisParams = _A,
                    exact: bool = True, attributes: DataFrame | None = None) -> DataFrame:
     """J7 + A18: features as of ``max - window`` with the median of each
-    donor's later gifts as the target (donors with both only).  One
-    ``groupBy``: history features and the future median are conditional
-    aggregates over the same rows."""
+    donor's later gifts as the target (donors with both only).  The median
+    goes through prefix counts of the donor's amounts, so a donor holding a
+    third of all gifts is spread over many tasks."""
     d, a = F.col(cols.date), F.col(cols.amount)
-    seq = F.col(cols.seq) if cols.seq in df.columns else F.lit(0).cast("long")
+    seq = F.col(cols.seq) if cols.seq in df.columns else None
     cutoff = add_days(df.agg(F.max(d)).scalar(), -params.redonate_window_days)
     g = df.withColumn("__cut", cutoff)
     hist = d <= F.col("__cut")
     demo = _demo_cols(df, cols, attributes)
-    key = F.struct(d.alias("d"), seq.alias("s"))
-    aggs = [F.count_if(hist).alias("Frequency"),
-            F.sum(F.when(hist, money(a))).alias("__sum"),
-            F.max(F.when(hist, d)).alias("__last"),
-            F.max_by(F.when(hist, a), F.when(hist, key)).alias("LastAmount"),
-            median(F.when(~hist, a), exact).alias("FutureMedianAmount"),
-            F.first("__cut").alias("__cut")]
-    if demo:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in demo]), key).alias("__demo"))
-    t = g.groupBy(cols.donor_id).agg(*aggs)
-    t = t.filter((F.col("Frequency") > 0) & F.col("FutureMedianAmount").isNotNull())
+    later = g.where(~hist)
+    future = (grouped_quantiles(later, [cols.donor_id], a, [0.5]) if exact else
+              later.groupBy(cols.donor_id).agg(median(a, False).alias("q0")).where("q0 is not null"))
+    future = future.select(F.col(cols.donor_id).alias("__id"), F.col("q0").alias("FutureMedianAmount"))
+    t = _history(g, hist, demo, seq, cols).filter(F.col("Frequency") > 0)
+    t = t.join(future, t[cols.donor_id].eqNullSafe(future["__id"])).drop("__id")
     out = t.select(
         cols.donor_id,
         elapsed_days(F.col("__last"), F.col("__cut")).alias("Recency"),

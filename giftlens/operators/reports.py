@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from giftlens.config import AnalysisParams, ColumnMap
 from giftlens.functions.agg import median, money, money_avg, money_sum
 from giftlens.functions.expr import MISSING_CATEGORY, month_label, month_start, pct_change, safe_div
+from giftlens.functions.quantiles import grouped_quantiles
 
 _C = ColumnMap()
 _A = AnalysisParams()
@@ -103,6 +104,15 @@ def _binary_key(flags: list[str]):
     return sum(F.col(c).cast("int") * w for c, w in zip(flags, weights))
 
 
+def _with_median(t: DataFrame, medians: DataFrame, keys: list[str]) -> DataFrame:
+    """``t`` with its groups' medians; null keys are groups."""
+    m = medians.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("q0").alias("median_amount"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & t[k].eqNullSafe(m[f"__{k}"])
+    return t.join(m, same, "left").drop(*[f"__{k}" for k in keys])
+
+
 def relationship_summary(df: DataFrame, cols: ColumnMap = _C, exact: bool = True) -> DataFrame:
     """Giving by relationship-flag combination, null keys kept."""
     flags = [c for c in cols.relationship if c in df.columns]
@@ -112,7 +122,9 @@ def relationship_summary(df: DataFrame, cols: ColumnMap = _C, exact: bool = True
         F.count(F.lit(1)).alias("donation_count"),
         money_sum(a).alias("total_amount"),
         money_avg(a).alias("avg_amount"),
-        median(a, exact).alias("median_amount"))
+        *([] if exact else [median(a, False).alias("median_amount")]))
+    if exact:
+        t = _with_median(t, grouped_quantiles(df, flags, a, [0.5]), flags)
     if len(flags) >= 4:
         return t.orderBy(_binary_key(flags).desc_nulls_last())
     return t.orderBy(F.col("total_amount").desc())
@@ -190,8 +202,8 @@ def attribute_relationship_summary(gifts: DataFrame, attributes: DataFrame, cols
                                    exact: bool = True) -> DataFrame:
     """A7 when the flags live in the donor table.  Gifts are first reduced
     to (donor, amount, count) -- recurring gifts of one amount collapse
-    map-side -- then joined to the flags; the median stays exact through
-    the frequency-weighted ``percentile``.  A donor without an attribute row
+    map-side -- then joined to the flags; the median stays exact, an amount
+    counting as often as it was given.  A donor without an attribute row
     has all flags 0, as one with blank flags has."""
     flags = [c for c in cols.relationship if c in attributes.columns]
     a = F.col(cols.amount)
@@ -201,15 +213,15 @@ def attribute_relationship_summary(gifts: DataFrame, attributes: DataFrame, cols
     j = per.join(attributes.select(cols.donor_id, *flags), cols.donor_id, "left").fillna(0, subset=flags)
     amt = F.col("__a")
     total = F.sum(money(amt) * F.col("__n"))
-    med = (F.round(F.percentile(amt.cast("double"), F.lit(0.5), F.col("__n")), 6) if exact else
-           F.round(F.percentile_approx(amt.cast("double"), 0.5, 10000).cast("double"), 6))
     t = j.groupBy(*flags).agg(
         F.countDistinct(cols.donor_id).alias("donors"),
         F.sum("__n").alias("donation_count"),
         total.cast("double").alias("total_amount"),
         F.try_divide(total.cast("double"), F.sum(F.when(amt.isNotNull(), F.col("__n"))).cast("double"))
         .alias("avg_amount"),
-        med.alias("median_amount"))
+        *([] if exact else [median(amt, False).alias("median_amount")]))
+    if exact:
+        t = _with_median(t, grouped_quantiles(j, flags, amt, [0.5], F.col("__n")), flags)
     if len(flags) >= 4:
         return t.orderBy(_binary_key(flags).desc_nulls_last())
     return t.orderBy(F.col("total_amount").desc())

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from giftlens.config import AnalysisParams, ColumnMap
 from giftlens.functions.agg import last_by, money_sum, quantile
 from giftlens.functions.expr import add_days, elapsed_days, ntz_lit
+from giftlens.functions.quantiles import quantiles as exact_quantiles
 
 _C = ColumnMap()
 _A = AnalysisParams()
@@ -74,10 +75,9 @@ def quintile_score(x: Column, edges: Column, n_edges: int = 4) -> Column:
 def rfm_scores(rfm: DataFrame, quantiles=_A.rfm_quantiles, exact: bool = True) -> DataFrame:
     """W4 + W5: R (reversed), F and M scores and their sum."""
     qs = list(quantiles)
-    edges = rfm.agg(F.struct(
-        quantile(-F.col("Recency"), qs, exact).alias("r"),
-        quantile(F.col("Frequency"), qs, exact).alias("f"),
-        quantile(F.col("Monetary"), qs, exact).alias("m"))).scalar()
+    values = {"r": -F.col("Recency"), "f": F.col("Frequency"), "m": F.col("Monetary")}
+    edges = (exact_quantiles(rfm, values, qs) if exact else
+             rfm.agg(F.struct(*[quantile(c, qs, False).alias(n) for n, c in values.items()])).scalar())
     e = F.col("__edges")
     out = rfm.withColumn("__edges", edges).withColumns({
         "R_score": quintile_score(-F.col("Recency"), e["r"], len(qs)),

@@ -345,6 +345,16 @@ def q_asof_features(spark, sf_dir):
     return q_panel_redonate(spark, sf_dir).drop("ReDonate")
 
 
+GIVEN_CUTOFFS = [_dt.datetime(1999, 3, 7, 12), _dt.datetime(1996, 12, 31), _dt.datetime(1998, 1, 1), _dt.datetime(1996, 12, 31),
+                 _dt.datetime(2000, 6, 30), _dt.datetime(1994, 1, 1), _dt.datetime(2001, 8, 1)]
+
+
+@register("panel_given_cutoffs")
+def q_panel_given_cutoffs(spark, sf_dir):
+    return panel.build_panel(receipt_gifts(spark, sf_dir), "redonate", C, FIXTURE_PARAMS,
+                             attributes=donor_table(spark, sf_dir), cutoffs=GIVEN_CUTOFFS)
+
+
 @register("panel_major")
 def q_panel_major(spark, sf_dir):
     return panel.build_panel(receipt_gifts(spark, sf_dir), "major", C, FIXTURE_PARAMS,

@@ -374,9 +374,8 @@ def _range(kind: str) -> str:
     return f"{start}, {stop}"
 
 
-def _panel_base(kind: str) -> str:
+def _quarter_cuts(kind: str) -> str:
     return f"""
-WITH {CLEAN},
 bounds AS (SELECT MIN(Date) AS mn, MAX(Date) AS mx FROM clean),
 r AS (SELECT {_range(kind)} FROM bounds),
 cut0 AS (
@@ -384,7 +383,13 @@ cut0 AS (
                  AS TIMESTAMP) + (start - date_trunc('day', start)) AS CutoffDate, stop
   FROM r, range(0, 400) t(i)
 ),
-cuts AS (SELECT i, CutoffDate FROM cut0 WHERE CutoffDate <= stop),
+cuts AS (SELECT i, CutoffDate FROM cut0 WHERE CutoffDate <= stop)"""
+
+
+def _panel_base(kind: str, cuts: str = "") -> str:
+    return f"""
+WITH {CLEAN},
+{cuts or _quarter_cuts(kind)},
 demo AS (SELECT ID, arg_max({_DEMO_PACK}, {_KEY}) AS x FROM clean GROUP BY ID),
 f AS (
   SELECT g.ID, c.CutoffDate, {_days('MAX(g.Date)', 'c.CutoffDate')} AS Recency, COUNT(*) AS Frequency,
@@ -398,8 +403,8 @@ feat AS (
 )"""
 
 
-def _panel_flag(kind: str, name: str, extra: str) -> str:
-    return _panel_base(kind) + f""",
+def _panel_flag(kind: str, name: str, extra: str, cuts: str = "") -> str:
+    return _panel_base(kind, cuts) + f""",
 lab AS (
   SELECT DISTINCT g.ID, c.CutoffDate FROM clean g JOIN cuts c
     ON g.Date > c.CutoffDate AND g.Date <= c.CutoffDate + INTERVAL 365 DAY {extra}
@@ -425,6 +430,9 @@ nt AS (
 )
 SELECT feat.*, nt.TargetCategory FROM feat JOIN nt ON nt.ID = feat.ID AND nt.CutoffDate = feat.CutoffDate"""
 
+ORACLE["panel_given_cutoffs"] = _panel_flag("redonate", "ReDonate", "", """cuts(CutoffDate) AS (VALUES
+  (TIMESTAMP '1999-03-07 12:00:00'), (TIMESTAMP '1996-12-31 00:00:00'), (TIMESTAMP '1998-01-01 00:00:00'),
+  (TIMESTAMP '2000-06-30 00:00:00'), (TIMESTAMP '1994-01-01 00:00:00'), (TIMESTAMP '2001-08-01 00:00:00'))""")
 ORACLE["panel_redonate"] = PANEL_REDONATE
 ORACLE["asof_features"] = f"SELECT * EXCLUDE (ReDonate) FROM ({PANEL_REDONATE})"
 ORACLE["panel_major"] = PANEL_MAJOR
