@@ -226,7 +226,7 @@ def test_secrets_brute_force(spark):
 def test_entropy_windows(spark):
     p = secrets.EntropyParams()
     keys = ["q8ZrXx9Lk2vB7nM4tY6w", "aaaaaaaaaaaaaaaaaaaa1", "q8ZrXx9Lk2vB7nM4tY6w" + "a1" * 30, "thisisjustaverylongwordindeed",
-            "EXAMPLEq8ZrXx9Lk2vB7nM4tY6w", "9f" * 12, "3f9a0c7be15d482690fe"]
+            "EXAMPLE1EXAMPLE2EXAMPLE", "9f" * 12, "3f9a0c7be15d482690fe"]
 
     def entropy(s):
         return -sum(s.count(c) / len(s) * math.log2(s.count(c) / len(s)) for c in set(s))
