@@ -32,10 +32,10 @@ def cut(df: DataFrame) -> DataFrame:
     return store(df, "cut")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """``cut`` with a name for the folder."""
+def store(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``cut`` with a name for the folder, and a codec for large tables of text."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
