@@ -431,7 +431,8 @@ def test_chat_rotation(spark):
     assert r.rendered == ("<|im_start|>system\nbe nice<|im_end|>\n<|im_start|>user name=ann\nhi < |im_end|><|im_end|>\n"
                           + "<|im_start|>assistant\nhello é<|im_end|>\n" * 2)
     spans = [tuple(map(int, s.split(":"))) for s in r.mask.split(",")]
-    assert [r.rendered[a:b] for a, b in spans] == ["hello é<|im_end|>"] * 2
+    assert [r.rendered[a - r.begin:b - r.begin] for a, b in spans] == ["hello é<|im_end|>"] * 2
+    assert r.begin == len(got[(1, "bob", "-1.0")].rendered) > 0
     assert {k[1] for k in got if k[0] == 1} == {"ann", "bob", "unknown"}
     assert got[(1, "unknown", "-1.0")].mask and not [k for k in got if k[0] == 2]
     assert got[(None, "ann", "0.0")].n_turns == 1
