@@ -106,6 +106,7 @@ class ModelParams:
     amount_rf_n_estimators: int = 200
     preference_n_estimators: int = 400
     max_bins: int = 32
+    max_labels: int = 1000              # categories with more labels are binned by hash
     max_memory_mb: int = 1024           # nodes split per data pass (fewer passes)
     seed: int = 42
 

@@ -18,48 +18,45 @@ SHIFTS = (42, 21, 0)
 _FRACTION = 2.0**52
 
 
-def _two_to(e: Column) -> Column:
-    """2.0 to the power ``e``, from -1022 to 1023, to the last bit: the product of two of
-    96 constants (``pow`` may be off by one)."""
-    high = F.array(*[F.lit(2.0 ** (32 * i - 1024)) for i in range(64)])
-    low = F.array(*[F.lit(2.0**i) for i in range(32)])
-    at = (e + 1024).cast("int")
-    return F.get(high, F.shiftright(at, 5)) * F.get(low, at.bitwiseAND(31))
-
-
-def sort_key(c: Column) -> Column:
-    """The 64-bit number of a double, in the doubles' order; NaN has none (null)."""
-    x = c.cast("double")
-    a = F.abs(x)
-    e = F.least(F.greatest(F.floor(F.log2(a)), F.lit(-1021)), F.lit(1022))
+def _two_to(e: str) -> str:
+    """SQL for 2.0 to the power ``e``, from -1022 to 1023, to the last bit: the product
+    of two of 96 constants (``pow`` may be off by one)."""
+    high = ", ".join(f"{2.0 ** (32 * i - 1024)!r}D" for i in range(64))
+    low = ", ".join(f"{2.0**i!r}D" for i in range(32))
+    at = f"cast({e} + 1024 AS int)"
+    return f"(get(array({high}), shiftright({at}, 5)) * get(array({low}), {at} & 31))"
+
+
+def keyed(df: DataFrame, value: Column, name: str = "k") -> DataFrame:
+    """``df`` with the 64-bit numbers of a column of doubles, in the doubles' order; NaN
+    and null have none.  The steps are columns, so none is computed twice."""
+    df = df.withColumn("__x", value.cast("double"))
+    df = df.withColumns({"__a": F.expr("abs(__x)"), "__e": F.expr("least(greatest(floor(log2(abs(__x))), -1021), 1022)")})
+    df = df.withColumn("__p", F.expr(_two_to("__e")))
     # The logarithm may be rounded to either side of a power of two.
-    e = e + F.when(_two_to(e) > a, -1).when(_two_to(e + 1) <= a, 1).otherwise(0)
-    part = ((a / _two_to(e) - 1) * F.lit(_FRACTION)).cast("long")
-    k = (e + 1023) * F.lit(2**52) + part
-    k = F.when(a == 0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(2047 * 2**52)).otherwise(k)
-    return F.when(~F.isnan(x), F.when(x < 0, -k).otherwise(k))
+    df = df.withColumns({"__e": F.expr("__e + CASE WHEN __p > __a THEN -1 WHEN __p * 2 <= __a THEN 1 ELSE 0 END"),
+                         "__p": F.expr("CASE WHEN __p > __a THEN __p * 0.5D WHEN __p * 2 <= __a THEN __p * 2 ELSE __p END")})
+    k = f"""CASE WHEN __a = 0 THEN 0L WHEN __a = double('Infinity') THEN {2047 * 2**52}L
+            ELSE (__e + 1023) * {2**52}L + cast((__a / __p - 1) * {_FRACTION!r}D AS bigint) END"""
+    return df.withColumn(name, F.expr(f"CASE WHEN isnan(__x) THEN NULL WHEN __x < 0 THEN -({k}) WHEN __x >= 0 THEN {k} END")).drop("__x", "__a", "__e", "__p")
 
 
-def key_value(k: Column) -> Column:
-    """The double of a ``sort_key``."""
-    a = F.abs(k)
-    e = F.shiftright(a, 52)
-    part = (a - F.shiftleft(e, 52)).cast("double")
-    size = (F.when(e == 0, part * F.lit(2.0**-52) * F.lit(2.0**-1022))
-            .when(e == 2047, F.lit(float("inf")))
-            .otherwise((part / F.lit(_FRACTION) + 1) * _two_to(e - 1023)))
-    return F.when(k < 0, -size).otherwise(size)
+def key_value(k: str) -> Column:
+    """The double of a key."""
+    a = f"abs({k})"
+    e, part = f"shiftright({a}, 52)", f"cast({a} & {2**52 - 1}L AS double)"
+    return F.expr(f"""(CASE WHEN {k} < 0 THEN -1D ELSE 1D END) * CASE {e} WHEN 0 THEN {part} * {2.0**-52!r}D * {2.0**-1022!r}D
+        WHEN 2047 THEN double('Infinity') ELSE ({part} / {_FRACTION!r}D + 1) * {_two_to(f"({e} - 1023)")} END""")
 
 
-def _ranks(total: Column, qs: list[float]) -> Column:
+def _ranks(total: str, qs: list[float]) -> Column:
     """For each quantile its two ranks (ids 2j and 2j + 1, from 0) and how far it lies
     beyond the first."""
     out = []
     for j, q in enumerate(qs):
-        at = (total - 1).cast("double") * F.lit(float(q))
-        for i, end in ((2 * j, F.floor(at)), (2 * j + 1, F.ceil(at))):
-            out.append(F.struct(F.lit(i).alias("id"), end.cast("long").alias("rest"), (at - F.floor(at)).alias("part")))
-    return F.array(*out)
+        at = f"(cast({total} - 1 AS double) * {q!r}D)"
+        out += [f"named_struct('id', {2 * j + i}, 'rest', cast({end}({at}) AS bigint), 'part', {at} - floor({at}))" for i, end in enumerate(("floor", "ceil"))]
+    return F.expr(f"array({', '.join(out)})")
 
 
 def _within(ranks: Column, before: Column, count: Column) -> Column:
@@ -87,34 +84,38 @@ def quantiles(df: DataFrame, values: dict[str, Column], qs) -> Column:
     Each level is a scalar subquery of a few numbers for each wanted rank, so there is
     no join; a level's window is over its buckets, not over rows."""
     qs = [float(q) for q in qs]
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("m"), sort_key(c).alias("k")) for i, c in enumerate(values.values())]))
-                     .alias("x")).select("x.m", "x.k").where("k is not null")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("m"), c.cast("double").alias("v")) for i, c in enumerate(values.values())]))
+                     .alias("x")).select("x.m", "x.v")
+    # Equal values become one row, and every level reads the same shuffle.
+    # The filter is on the value: on the key, it would be pushed below the key's steps.
+    long = keyed(long.where("v is not null and not isnan(v)"), F.col("v")).groupBy("m", "k").agg(F.count(F.lit(1)).alias("c"))
     wanted, above = None, None
     for shift in SHIFTS:
-        rows = long
-        if wanted is not None:
-            at = F.shiftright("k", above)
-            rows = rows.withColumn("w", wanted).where(F.exists("w", lambda w: (w["m"] == F.col("m")) & (w["b"] == at)))
-        level = rows.groupBy("m", F.shiftright("k", shift).alias("k")).agg(F.count(F.lit(1)).alias("c"))
-        up = F.lit(0) if wanted is None else F.shiftright("k", above - shift)
-        before, total = _running("c", "m", up)
-        level = level.withColumns({"before": before, "total": total})
+        count = F.sum("c").alias("c")
         if wanted is None:
-            ranks = _ranks(F.col("total"), qs)
+            level = long.groupBy("m", F.shiftright("k", shift).alias("k")).agg(count)
+            before, total = _running("c", "m")
+            level = level.withColumns({"before": before, "total": total}).withColumn("r", _ranks("total", qs))
         else:
-            level = level.withColumn("w", wanted).withColumn("up", up)
-            ranks = F.filter("w", lambda w: (w["m"] == F.col("m")) & (w["b"] == F.col("up")))
-        hits = level.select("m", F.col("k").alias("b"), F.explode(_within(ranks, F.col("before"), F.col("c"))).alias("r"))
-        wanted = hits.agg(F.collect_list(F.struct("m", "b", "r.id", "r.rest", "r.part"))).scalar()
+            rows = long.withColumn("w", wanted).withColumn("up", F.shiftright("k", above))
+            # The count, never 0, keeps the filter above the sums, where a row is a value.
+            own = F.filter("w", lambda w: (w["m"] == F.col("m")) & (w["b"] == F.col("up")) & (F.col("c") > 0))
+            rows = rows.withColumn("r", own).where(F.size("r") > 0)
+            level = rows.groupBy("m", "up", "r", F.shiftright("k", shift).alias("k")).agg(count)
+            level = level.withColumn("before", _running("c", "m", "up")[0])
+        hits = level.select("m", F.col("k").alias("b"), F.explode(_within(F.col("r"), F.col("before"), F.col("c"))).alias("r"))
+        if shift:
+            wanted = hits.agg(F.collect_list(F.struct("m", "b", "r.id", "r.rest", "r.part"))).scalar()
         above = shift
-
-    def one(m: int, j: int) -> Column:
-        def pick(i, field):
-            return F.get(F.filter(F.col("w"), lambda w: (w["m"] == m) & (w["id"] == i)), F.lit(0))[field]
-        return _between(key_value(pick(2 * j, "b")), key_value(pick(2 * j + 1, "b")), pick(2 * j, "part"))
-
-    row = df.sparkSession.range(1).select(wanted.alias("w"))
-    return row.select(F.struct(*[F.array(*[one(m, j) for j in range(len(qs))]).alias(name) for m, name in enumerate(values)])).scalar()
+    # One row for each value and rank, a handful: two ranks make a quantile.
+    got = hits.select("m", F.floor(F.col("r.id") / 2).cast("int").alias("j"), F.col("r.id") % 2 == 0, F.col("r.part").alias("part"),
+                      key_value("b").alias("v")).toDF("m", "j", "first", "part", "v")
+    got = got.groupBy("m", "j").agg(F.max(F.when(F.col("first"), F.col("v"))).alias("lo"), F.max(F.when(~F.col("first"), F.col("v"))).alias("hi"),
+                                    F.max("part").alias("part"))
+    got = got.groupBy("m").agg(F.sort_array(F.collect_list(F.struct("j", _between(F.col("lo"), F.col("hi"), F.col("part")).alias("q")))).alias("q"))
+    none = F.array(*[F.lit(None).cast("double") for _ in qs])
+    row = got.agg(*[F.coalesce(F.get(F.collect_list(F.when(F.col("m") == m, F.col("q.q"))), F.lit(0)), none).alias(name) for m, name in enumerate(values)])
+    return row.select(F.struct(*values)).scalar()
 
 
 def _same(a: DataFrame, b: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -132,8 +133,8 @@ def grouped_quantiles(df: DataFrame, by: list[str], value: Column, qs, weight: C
     Rows are first summed up by value, then prefix counts go down the levels, so a
     group that holds a third of all rows is dealt out by its values."""
     qs, keys = [float(q) for q in qs], [f"__g{i}" for i in range(len(by))]
-    per = (df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], sort_key(value).alias("k"), (weight if weight is not None else F.lit(1)).cast("long").alias("c"))
-           .where("k is not null and c > 0").groupBy(*keys, "k").agg(F.sum("c").alias("c")))
+    per = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], value.alias("v"), (weight if weight is not None else F.lit(1)).cast("long").alias("c"))
+    per = (keyed(per.where("v is not null and not isnan(v) and c > 0"), F.col("v")).groupBy(*keys, "k").agg(F.sum("c").alias("c")))
     levels = [per]
     for shift, below in zip(SHIFTS[1::-1], SHIFTS[::-1]):
         levels.append(levels[-1].groupBy(*keys, F.shiftright("k", shift - below).alias("k")).agg(F.sum("c").alias("c")))
@@ -141,7 +142,7 @@ def grouped_quantiles(df: DataFrame, by: list[str], value: Column, qs, weight: C
     for level, above, shift in zip(levels[::-1], (None, *SHIFTS), SHIFTS):
         if hits is None:
             before, total = _running("c", *keys)
-            level = level.withColumns({"before": before, "total": total}).withColumn("r", _ranks(F.col("total"), qs))
+            level = level.withColumns({"before": before, "total": total}).withColumn("r", _ranks("total", qs))
         else:
             level = level.withColumn("u", F.shiftright("k", above - shift))
             up = hits.select(*[F.col(k).alias(f"h{k}") for k in keys], F.col("k").alias("hk"), F.col("r").alias("hr"))
@@ -149,7 +150,7 @@ def grouped_quantiles(df: DataFrame, by: list[str], value: Column, qs, weight: C
             before, _ = _running("c", *keys, "u")
             level = level.withColumn("before", before).withColumnRenamed("hr", "r")
         hits = level.select(*keys, "k", _within(F.col("r"), F.col("before"), F.col("c")).alias("r")).where(F.size("r") > 0)
-    flat = hits.select(*keys, key_value(F.col("k")).alias("v"), F.explode("r").alias("r"))
+    flat = hits.select(*keys, key_value("k").alias("v"), F.explode("r").alias("r"))
     got = flat.groupBy(*keys).agg(*[F.max(F.when(F.col("r.id") == i, F.col("v"))).alias(f"v{i}") for i in range(2 * len(qs))],
                                   *[F.max(F.when(F.col("r.id") == 2 * j, F.col("r.part"))).alias(f"p{j}") for j in range(len(qs))])
     return got.select(*[F.col(k).alias(b) for b, k in zip(by, keys)],
@@ -157,12 +158,12 @@ def grouped_quantiles(df: DataFrame, by: list[str], value: Column, qs, weight: C
 
 
 def sum_below(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """``df``, of distinct ``key`` values (``sort_key``), with the sum of ``value`` over all
+    """``df``, of distinct ``key`` values (see ``keyed``), with the sum of ``value`` over all
     smaller keys.  Each window is over one bucket of a level, and above all over the first
     level's buckets."""
     top, mid = SHIFTS[0], SHIFTS[1]
     zero = F.lit(0).cast("long")
-    two = df.where(F.col(key).isNotNull()).groupBy(F.shiftright(key, mid).alias("k")).agg(F.sum(value).alias("c"))
+    two = df.groupBy(F.shiftright(key, mid).alias("k")).agg(F.sum(value).alias("c"))
     one = two.groupBy(F.shiftright("k", top - mid).alias("k")).agg(F.sum("c").alias("c"))
     one = one.select(F.col("k").alias("u1"), _running("c")[0].alias("o1"))
     two = two.withColumn("u1", F.shiftright("k", top - mid)).join(one, "u1")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from giftlens.functions.agg import quantile
-from giftlens.functions.quantiles import quantiles, sort_key, sum_below
+from giftlens.functions.quantiles import keyed, quantiles, sum_below
 
 ROUND = 9
 
@@ -25,7 +25,7 @@ def auc(df: DataFrame, label: str = "label", score: str = "probability") -> Data
     score are in no pair but count in the classes' sizes.  Null when only one
     class is present."""
     s, y = F.col(score).cast("double"), F.col(label)
-    per = df.groupBy(sort_key(s).alias("k")).agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
+    per = keyed(df.select(y.alias("y"), s.alias("s")), F.col("s")).groupBy("k").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
     size = per.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(F.struct("P", "N")).scalar()
     num = sum_below(per, "k", "neg", "below").agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") * 0.5)).alias("num"))
     return num.withColumn("z", size).select(F.when((F.col("z.P") > 0) & (F.col("z.N") > 0), F.round(

@@ -90,6 +90,33 @@ def distribution(df: DataFrame, group_col: str, top_n: int | None = _A.top_n_cat
     return t.limit(top_n) if top_n else t
 
 
+def category_reports(df: DataFrame, columns: list[str], top_n: dict[str, int] | None = None,
+                     cols: ColumnMap = _C) -> DataFrame:
+    """A4-A6 + T1 for all ``columns`` in one scan: ``distribution`` of each, told
+    apart by ``report``, its key as the text ``category``; ``top_n`` limits the
+    reports it names.
+
+    Gifts are summed up per donor and combination of categories, then per report,
+    category and donor, so distinct donors are plain counts and a category that
+    most gifts share is dealt out by donor."""
+    columns = [c for c in columns if c in df.columns]
+    per = df.groupBy(cols.donor_id, *columns).agg(F.sum(money(F.col(cols.amount))).alias("__amt"), F.count(F.lit(1)).alias("__n"))
+    sets = F.array(*[F.struct(F.lit(c).alias("report"), F.col(c).cast("string").alias("category")) for c in columns])
+    long = per.select(F.col(cols.donor_id).alias("__id"), "__amt", "__n", F.explode(sets).alias("x")).select("x.*", "__id", "__amt", "__n")
+    long = long.filter(F.col("category").isNotNull()).groupBy("report", "category", "__id").agg(
+        F.sum("__amt").alias("__amt"), F.sum("__n").alias("__n"))
+    t = long.groupBy("report", "category").agg(F.sum("__amt").cast("double").alias("total_amount"), F.count("__id").alias("donors"),
+                                               F.sum("__n").alias("donation_count")).withColumns({
+        "avg_amount_per_donation": safe_div(F.col("total_amount"), F.col("donation_count")),
+        "avg_amount_per_donor": safe_div(F.col("total_amount"), F.col("donors"))})
+    order = [F.col("total_amount").desc(), F.col("donation_count").desc(), F.col("category").asc()]
+    if top_n:
+        limit = F.coalesce(*[F.when(F.col("report") == name, F.lit(n)) for name, n in top_n.items()])
+        rank = F.row_number().over(Window.partitionBy("report").orderBy(*order))
+        t = t.withColumn("__rank", rank).filter(limit.isNull() | (F.col("__rank") <= limit)).drop("__rank")
+    return t.orderBy("report", *order)
+
+
 def appeal_performance(df: DataFrame, cols: ColumnMap = _C) -> DataFrame:
     return distribution(df, cols.appeal, None, cols)
 
@@ -104,6 +131,14 @@ def _binary_key(flags: list[str]):
     return sum(F.col(c).cast("int") * w for c, w in zip(flags, weights))
 
 
+def with_flag_key(df: DataFrame, cols: ColumnMap = _C, name: str = "RelationshipKey") -> DataFrame:
+    """W11 as a column: the four relationship flags as one number, null if one is
+    null or absent."""
+    flags = cols.relationship
+    key = _binary_key(flags) if len(flags) == 4 and set(flags) <= set(df.columns) else F.lit(None)
+    return df.withColumn(name, key.cast("int"))
+
+
 def _with_median(t: DataFrame, medians: DataFrame, keys: list[str]) -> DataFrame:
     """``t`` with its groups' medians; null keys are groups."""
     m = medians.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("q0").alias("median_amount"))

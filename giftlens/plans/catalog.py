@@ -130,6 +130,21 @@ def q_fund_performance(spark, sf_dir):
     return reports.fund_performance(clean_gifts(spark, sf_dir, GIFT_CORE + ("Fund",)), C)
 
 
+CATEGORY_COLUMNS = ("Gender", "OccupDesc", "ReligionCode", "Suburb", "Appeal", "Fund")
+
+
+@register("category_reports")
+def q_category_reports(spark, sf_dir):
+    """All category reports from one scan of the gifts."""
+    gifts = clean_gifts(spark, sf_dir, GIFT_CORE + CATEGORY_COLUMNS)
+    return reports.category_reports(gifts, list(CATEGORY_COLUMNS), {c: 3 for c in CATEGORY_COLUMNS[:4]}, C)
+
+
+@register("flag_key")
+def q_flag_key(spark, sf_dir):
+    return reports.with_flag_key(cleaning.map_flags(fixtures.donor_attributes(spark, sf_dir), C), C).select("ID", "RelationshipKey")
+
+
 @register("relationship_summary")
 def q_relationship_summary(spark, sf_dir):
     attrs = cleaning.map_flags(fixtures.donor_attributes(spark, sf_dir), C)
@@ -241,6 +256,17 @@ def q_rfm_table(spark, sf_dir):
     return _rfm(spark, sf_dir)
 
 
+@register("rfm_by_donor_buckets")
+def q_rfm_by_donor_buckets(spark, sf_dir):
+    """The RFM table from a cleaned table that is bucketed by donor."""
+    import uuid
+
+    from giftlens.plans.outputs import write_cleaned_by_donor
+    from giftlens.session import scratch_path
+    gifts = write_cleaned_by_donor(core_gifts(spark, sf_dir), f"cleaned_{uuid.uuid4().hex}", scratch_path(spark, "by-donor"), 8, C)
+    return rfm.rfm_table(gifts, C, FIXTURE_PARAMS)
+
+
 @register("rfm_scores")
 def q_rfm_scores(spark, sf_dir):
     return _rfm(spark, sf_dir).select("ID", "R_score", "F_score", "M_score", "RFM_Score")
@@ -609,6 +635,23 @@ def q_report_manifest(spark, sf_dir):
     return report_manifest({k: qs[k](spark, sf_dir) for k in MANIFEST_REPORTS})
 
 
+@register("stream_trend_month")
+def q_stream_trend_month(spark, sf_dir):
+    """The monthly trend of gifts landed in eight files, three to a batch; donors are
+    a sketch, held against the exact count."""
+    from giftlens.session import scratch_path
+    from giftlens.streaming import trends
+    base = scratch_path(spark, "stream-trend")
+    gifts = core_gifts(spark, sf_dir)
+    gifts.repartition(8, "ReceiptSeq").write.parquet(f"{base}/landing")
+    stream = spark.readStream.schema(gifts.schema).option("maxFilesPerTrigger", 3).parquet(f"{base}/landing")
+    trends.run_month_trend(stream, f"{base}/months", f"{base}/checkpoint", "4000 days", C)
+    exact = reports.trend_month(gifts, C).select("Month", "donors")
+    t = trends.read_month_trend(spark, f"{base}/months").join(exact, "Month")
+    near = F.abs(F.col("donors_estimate") - F.col("donors")) <= 4 * trends.standard_error() * F.col("donors")
+    return t.select("Month", "total_amount", "donation_count", "avg_amount_per_donation", near.alias("donors_within_four_errors"))
+
+
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
     """Streaming ingest of landed raw receipts into the cleaned table."""

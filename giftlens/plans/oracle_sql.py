@@ -108,6 +108,17 @@ ORACLE["appeal_performance"] = _dist("Appeal", None)
 ORACLE["fund_performance"] = _dist("Fund", None)
 
 
+ORACLE["category_reports"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS report, {c} AS category, * EXCLUDE ({c}) FROM ({_dist(c, top)})"
+    for c, top in (("Gender", 3), ("OccupDesc", 3), ("ReligionCode", 3), ("Suburb", 3), ("Appeal", None), ("Fund", None)))
+ORACLE["stream_trend_month"] = (f"SELECT Month, total_amount, donation_count, avg_amount_per_donation, "
+                                f"TRUE AS donors_within_four_errors FROM ({ORACLE['trend_month']})")
+ORACLE["flag_key"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS ID, CAST(8 * (c_custkey % 2) + 4 * (c_custkey % 4 >= 2)::INT
+  + 2 * (c_custkey % 8 >= 4)::INT + (c_custkey % 16 >= 8)::INT AS INTEGER) AS RelationshipKey
+FROM customer"""
+
+
 def _decade(age: str) -> str:
     low = f"CAST(({age}) - ({age}) % 10 AS BIGINT)"
     return (f"CASE WHEN CAST(ID AS BIGINT) % 9 > 0 THEN "
@@ -313,6 +324,7 @@ TIMED = """
 timed AS (SELECT event_id AS ReceiptSeq, CAST(user_id AS VARCHAR) AS ID, ts AS Date, value AS Amount FROM events)"""
 
 ORACLE["rfm_table"] = RFM
+ORACLE["rfm_by_donor_buckets"] = RFM
 ORACLE["rfm_scores"] = f"SELECT ID, R_score, F_score, M_score, RFM_Score FROM ({RFM})"
 ORACLE["rfm_segment_distribution"] = f"""
 SELECT RFM_Segment, COUNT(*) AS count, COUNT(*) / SUM(COUNT(*)) OVER () * 100.0 AS pct

@@ -9,6 +9,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from giftlens.config import ColumnMap
+
 # Fixed order in which the reference lists its outputs; the rest follow
 # alphabetically.
 PRIORITY = ("prospecting_playbook", "rfm_table", "lapsed_targets", "high_potential_sleeper",
@@ -31,6 +33,15 @@ def write_cleaned(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("Year").parquet(path)
 
 
+def write_cleaned_by_donor(df: DataFrame, table: str, path: str, buckets: int, cols: ColumnMap = ColumnMap()) -> DataFrame:
+    """S5 as a table bucketed and sorted by donor: what groups or joins by donor reads it
+    without a shuffle.  One file a bucket; a donor's gifts are in one bucket, so choose
+    buckets for the table's size.  Returns the table."""
+    (df.repartition(buckets, cols.donor_id).write.mode("overwrite").bucketBy(buckets, cols.donor_id).sortBy(cols.donor_id)
+     .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def write_reports(reports: dict[str, DataFrame], out: str, run_date: _dt.date | None = None) -> dict[str, str]:
     """One parquet dataset per report under ``run_date=...``; the path of each."""
     run_date = run_date or _dt.date.today()

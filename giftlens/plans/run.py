@@ -20,6 +20,7 @@ from giftlens.config import InsufficientData, Settings
 from giftlens.operators import cleaning, donors, models, panel, playbook, quality, reports, rfm
 from giftlens.plans import outputs
 from giftlens.session import stable
+from giftlens.sources.readers import read_gifts_csv
 
 
 @dataclass
@@ -28,6 +29,7 @@ class RunResult:
     metrics: dict[str, DataFrame] = field(default_factory=dict)
     skipped: dict[str, str] = field(default_factory=dict)
     quality: DataFrame | None = None
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 def build_reports(df: DataFrame, s: Settings) -> dict[str, DataFrame]:
@@ -37,15 +39,16 @@ def build_reports(df: DataFrame, s: Settings) -> dict[str, DataFrame]:
                                  "trend_month": reports.trend_month(df, c)}
     if df.filter(F.col(c.amount) >= a.major_gift_threshold).limit(1).count():
         out["trend_year_major"] = reports.trend_year_major(df, a.major_gift_threshold, c)
-    for col, name in ((c.gender, "dist_gender"), ("AgeGroup", "dist_agegroup"),
-                      (c.occupation_desc, "dist_occupation"), (c.religion, "dist_religion"),
-                      (c.suburb, "dist_suburb")):
-        if col and col in df.columns:
-            out[name] = reports.distribution(df, col, a.top_n_categories, c)
-    if c.appeal in df.columns:
-        out["appeal_performance"] = reports.appeal_performance(df, c)
-    if c.fund in df.columns:
-        out["fund_performance"] = reports.fund_performance(df, c)
+    named = ((c.gender, "dist_gender"), ("AgeGroup", "dist_agegroup"), (c.occupation_desc, "dist_occupation"),
+             (c.religion, "dist_religion"), (c.suburb, "dist_suburb"), (c.appeal, "appeal_performance"), (c.fund, "fund_performance"))
+    named = [(col, name) for col, name in named if col and col in df.columns]
+    if named:
+        # All category reports come from one scan.
+        limits = {col: a.top_n_categories for col, _ in named if col not in (c.appeal, c.fund)}
+        every = stable(reports.category_reports(df, [col for col, _ in named], limits, c))
+        for col, name in named:
+            one = every.filter(F.col("report") == col).drop("report").withColumnRenamed("category", col)
+            out[name] = one.orderBy(F.col("total_amount").desc(), F.col("donation_count").desc(), F.col(col).asc())
     r = rfm.rfm_table(df, c, a)
     out["rfm_table"] = r
     out["lapsed_targets"] = rfm.lapsed_targets(r, a.lapsed_recency_days, a.lapsed_min_monetary, c)
@@ -111,7 +114,10 @@ def train(df: DataFrame, out_dir: str, settings: Settings, res: RunResult) -> di
 
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, settings: Settings = Settings(),
         train_models: bool = True, run_date: _dt.date | None = None) -> RunResult:
-    """Run every stage on ``raw`` (typed gifts: see ``cleaning.type_conversions``)."""
+    """Run every stage on ``raw`` (typed gifts: see ``cleaning.type_conversions``).
+
+    ``counts`` (C12) need no scan of their own: rows before come with the quality
+    report, rows after from the footers of the written files."""
     started = _dt.datetime.now()
     c, a = settings.columns, settings.analysis
     res = RunResult()
@@ -119,6 +125,8 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, settings: Settings =
     outputs.write_anomalies(cleaning.flag_anomalies(raw, c), f"{out_dir}/relationship_flag_anomalies")
     cleaned_path = f"{out_dir}/cleaned"
     outputs.write_cleaned(cleaning.preprocess(raw, c), cleaned_path)   # stage 2 (S5)
+    res.counts = {"rows_before": int(res.quality.filter("check = 'rows'").first()["value"]),
+                  "rows_after": spark.read.parquet(cleaned_path).count()}
     # Reading back cuts lineage and lets the Year filter prune partitions.
     df = spark.read.parquet(cleaned_path).filter(F.col("Year") >= a.year_cutoff)
     res.reports = build_reports(df, settings)                    # stage 3 + lists
@@ -133,9 +141,24 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, settings: Settings =
             outputs.write_metrics(res.metrics, f"{out_dir}/metrics")
     done = {name: spark.read.parquet(path) for name, path in written.items()}
     outputs.report_manifest(done).write.mode("overwrite").parquet(f"{out_dir}/manifest")   # stage 6
-    records = spark.read.parquet(cleaned_path).count()
-    outputs.run_record(spark, started, _dt.datetime.now(), records,
+    outputs.run_record(spark, started, _dt.datetime.now(), res.counts["rows_after"],
                        {"year_cutoff": a.year_cutoff, "major_gift_threshold": a.major_gift_threshold,
                         "window_days": a.redonate_window_days}) \
         .write.mode("append").parquet(f"{out_dir}/runs")
     return res
+
+
+def run_files(spark: SparkSession, receipts: str, out_dir: str, settings: Settings = Settings(),
+              train_models: bool = True, run_date: _dt.date | None = None,
+              extra_formats: tuple[str, ...] = ()) -> RunResult:
+    """From raw CSV receipts to all outputs: land them as they are (S4), type them
+    (C1-C4), run every stage.  ``counts`` then also tells how many dates were lost."""
+    c = settings.columns
+    landing = f"{out_dir}/landing"
+    outputs.write_landing(read_gifts_csv(spark, receipts), landing)
+    landed = spark.read.parquet(landing)
+    quality.require_columns(landed, c)
+    res = run(spark, cleaning.type_conversions(landed, c, extra_formats=extra_formats), out_dir, settings, train_models, run_date)
+    lost = cleaning.date_parse_loss(cleaning.null_tokens(landed), c, extra_formats).collect()   # a row for each date column
+    res.counts |= {f"lost_{r['column']}": r["lost"] for r in lost}
+    return res

@@ -39,9 +39,9 @@ def test_keys_are_the_doubles_bits(spark):
     near = [float(np.nextafter(p, to)) for p in powers for to in (0.0, math.inf)]
     values = odd + powers + near + [rng.gauss(0, 10.0**rng.randint(-300, 300)) for _ in range(2000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for r in df.select("v", Q.sort_key(F.col("v")).alias("k")).withColumn("back", Q.key_value(F.col("k"))).collect():
+    for r in Q.keyed(df, F.col("v")).withColumn("back", Q.key_value("k")).collect():
         assert (r.k, r.back) == (bits(r.v), r.v)
-    nothing = spark.createDataFrame([(None,), (math.nan,)], "v double").select(Q.sort_key(F.col("v")).alias("k"))
+    nothing = Q.keyed(spark.createDataFrame([(None,), (math.nan,)], "v double"), F.col("v"))
     assert [r.k for r in nothing.collect()] == [None, None]
 
 
@@ -115,7 +115,7 @@ def test_auc_of_scores_that_crowd_together(spark):
     won = sum((np.searchsorted(neg, s, "left") + np.searchsorted(neg, s, "right")) / 2 for s in pos)
     want = won / ((len(pos) + 1) * len(neg))                     # the row without a score wins nothing
     assert metrics.auc(df).first().auc == pytest.approx(want, abs=2e-9)
-    sizes = df.select(F.shiftright(Q.sort_key(F.col("probability")), Q.SHIFTS[1]).alias("b"), "probability").distinct().groupBy("b").count()
+    sizes = Q.keyed(df, F.col("probability")).select(F.shiftright("k", Q.SHIFTS[1]).alias("b"), "probability").distinct().groupBy("b").count()
     assert sizes.agg(F.max("count")).first()[0] < 40
 
 
