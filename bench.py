@@ -29,15 +29,25 @@ HEADLINE = (
 
 
 def naive_panel(spark, sf_dir):
-    """The reference's algorithm shape, for comparison only: every gift
-    range-joined to every later cutoff, regrouped per cutoff."""
+    """The reference's algorithm shape, for comparison only, with all columns of
+    ``panel_redonate``: every gift range-joined to every later cutoff and regrouped
+    per cutoff, labels by a second range join, demographics by donor."""
+    from giftlens.functions.agg import last_by, money_sum
+    from giftlens.functions.expr import add_days, elapsed_days
     from giftlens.operators import panel
-    g = catalog.panel_gifts(spark, sf_dir)
-    cuts = panel.panel_cutoffs(catalog.core_gifts(spark, sf_dir), "redonate", catalog.C,
-                               catalog.FIXTURE_PARAMS)
-    j = g.join(F.broadcast(cuts), g.Date <= cuts.CutoffDate)
-    return j.groupBy("ID", "CutoffDate").agg(F.count(F.lit(1)).alias("Frequency"),
-                                             F.sum("Amount").alias("Monetary"))
+    g = catalog.receipt_gifts(spark, sf_dir)
+    cuts = F.broadcast(panel.panel_cutoffs(catalog.core_gifts(spark, sf_dir), "redonate", catalog.C,
+                                           catalog.FIXTURE_PARAMS).select("CutoffDate"))
+    past = g.join(cuts, g.Date <= cuts.CutoffDate).groupBy("ID", "CutoffDate").agg(
+        F.count(F.lit(1)).alias("Frequency"), money_sum(F.col("Amount")).alias("Monetary"),
+        F.max("Date").alias("last"), last_by(F.col("Amount"), F.col("Date"), F.col("ReceiptSeq")).alias("LastAmount"))
+    ahead = g.join(cuts, (g.Date > cuts.CutoffDate) & (g.Date <= add_days(cuts.CutoffDate, 365)))
+    ahead = ahead.select("ID", "CutoffDate", F.lit(1).alias("ReDonate")).distinct()
+    out = past.withColumns({"Recency": elapsed_days(F.col("last"), F.col("CutoffDate")),
+                            "AvgAmount": F.col("Monetary") / F.col("Frequency")}).drop("last")
+    out = out.join(ahead, ["ID", "CutoffDate"], "left").fillna(0, subset=["ReDonate"])
+    demo = panel.donor_demographics(g.select("ID", "Date", "ReceiptSeq", "Education"), catalog.C)
+    return out.join(demo, "ID", "left").join(catalog.donor_table(spark, sf_dir), "ID", "left")
 
 
 def run(df) -> None:
