@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -187,7 +188,16 @@ def test_regressors_find_a_planted_signal(spark):
 
 
 def test_preference_finds_a_planted_signal(spark):
-    t = models.train_preference(_planted(spark).drop("ReDonate", "DaysToNext", "FutureMedianAmount"), "fund", C, AnalysisParams(), SMALL_TREES)
+    data = _planted(spark).drop("ReDonate", "DaysToNext", "FutureMedianAmount")
+    boosted = models.train_preference(data, "fund", C, AnalysisParams(), SMALL_TREES.with_(gbt_n_estimators=8), algorithm="GBT")
+    r = boosted.metrics.first()
+    assert (r.model, r.n_classes) == ("GBT", 6) and r.accuracy > 0.8 and r.macro_f1 > 0.8
+    path = tempfile.mkdtemp(prefix="giftlens-boosted-") + "/m"
+    outputs.save_model(boosted.model, path)
+    scored = models.model_matrix(data.limit(50), models.categorical_features(data, C), fill="")
+    kept = [m.transform(scored).select("pref_probability").collect() for m in (boosted.model, PipelineModel.load(path))]
+    assert kept[0] == kept[1] and all(sum(x[0]) == pytest.approx(1.0) for x in kept[0])
+    t = models.train_preference(data, "fund", C, AnalysisParams(), SMALL_TREES)
     r = t.metrics.first()
     assert r.n_classes == 6 and t.classes == ["Ax", "Ay", "Bx", "By", "Cx", "Cy"]
     assert r.accuracy > 0.8 and r.macro_f1 > 0.8                    # the largest class holds about a quarter
