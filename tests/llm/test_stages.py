@@ -102,10 +102,10 @@ def test_near_dedup_stage(spark):
     docs = []
     for i in range(90):
         if i % 3 == 0 or rng.random() < 0.2:
-            w = sentence(rng, rng.choice([3, 12, 40, 120])).split()
+            w = sentence(rng, rng.choice([3, 60, 120, 250])).split()
         else:
             w = docs[rng.randrange(len(docs))][1].split()
-            for _ in range(rng.choice([0, 1, 1, 2, 5])):
+            for _ in range(rng.choice([0, 1, 1, 2, 4])):
                 w[rng.randrange(len(w))] = "new" + str(rng.randrange(50))
         docs.append((i, " ".join(w)))
     docs += [(90, None), (91, ""), (92, "")]
