@@ -93,3 +93,14 @@ def test_regressor_and_preference_in_parts(spark):
         assert r.ttn_prediction == pytest.approx(np.mean([tree.predict(r.ttn_features) for f in forests(time.model) for tree in f.trees]))
     t = models.train_preference(base, "fund", C, AnalysisParams(), PARTED)
     assert len(forests(t.model)) > 1 and t.metrics.first().accuracy > 0.6
+
+
+def test_boosting_keeps_no_node_numbers(spark):
+    """Each of the 1,500 passes of a boosting wrote every row's node number anew; the model is the same without."""
+    rows = (spark.range(400).select(F.when(F.col("id") % 7 < 3, 1.0).otherwise(0.0).alias("y"), F.lit(1.0).alias("w"),
+                                    F.array((F.col("id") % 7).cast("double"), (F.col("id") % 11).cast("double")).alias("a"))
+            .select("y", "w", models.array_to_vector("a").alias("f")).coalesce(2).cache())
+    est = models._classifier("GBT", "f", "y", "w", TREES.with_(gbt_n_estimators=4), "b")
+    assert not est.getCacheNodeIds() and est.getMaxIter() == 4 and est.getMaxDepth() == 5
+    with_numbers = est.copy().setCacheNodeIds(True).fit(rows)
+    assert est.fit(rows).toDebugString.split("\n")[1:] == with_numbers.toDebugString.split("\n")[1:]
