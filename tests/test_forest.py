@@ -104,3 +104,18 @@ def test_boosting_keeps_no_node_numbers(spark):
     assert not est.getCacheNodeIds() and est.getMaxIter() == 4 and est.getMaxDepth() == 5
     with_numbers = est.copy().setCacheNodeIds(True).fit(rows)
     assert est.fit(rows).toDebugString.split("\n")[1:] == with_numbers.toDebugString.split("\n")[1:]
+
+
+def test_moved_rows_lie_beside_their_like(spark):
+    """Rows dealt anew came in random order, so a pass over a forest's deep levels found no node's statistics in the cache."""
+    rows = spark.range(1000).select((F.col("id") % 10).cast("string").alias("Gender"), F.expr("if(id % 9 = 0, null, id % 13 * 1.0d)").alias("Monetary"),
+                                    F.col("id").cast("double").alias("Recency")).coalesce(1)
+    assert models._alike(["Gender"], ["Recency", "Monetary"]) == ["Gender", "Monetary", "Recency"]
+    got = models.dealt(rows, 1000, ModelParams(task_rows=250), models._alike(["Gender"], ["Recency", "Monetary"]))
+    parts = got.rdd.glom().collect()
+    assert len(parts) == min(4, spark.sparkContext.defaultParallelism) and sorted(r.Recency for p in parts for r in p) == list(range(1000))
+    for p in parts:
+        key = [(r.Gender, r.Monetary is not None, r.Monetary or 0.0, r.Recency) for r in p]
+        assert key == sorted(key)
+    spread = spark.range(100, numPartitions=8)
+    assert models.dealt(spread, 100, ModelParams(), ["id"]) is spread
