@@ -112,3 +112,67 @@ def test_no_words(spark):
     vocab, table = lm.train(df, p)
     got = lm.score(df, vocab, table, p, lm.shares(words, vocab, p)).collect()
     assert vocab == [] and sorted((r.doc_id, r.n_tokens, r.pll, r.mean_pll) for r in got) == [(1, 0, 0.0, None), (2, 0, 0.0, None)]
+
+
+@pytest.mark.parametrize("piece", [200, 1 << 19])
+def test_corpus_scores_equal_plain_counts_of_real_words(spark, corpus, piece):
+    """Counts stopped at the network's classes: no context of a word outside the vocabulary was counted."""
+    p = lm.LmParams(words=12, classes=5, hidden=8, steps=20, rarest=1 / 2000, piece=piece)
+    rows = [*enumerate(corpus + [corpus[0], corpus[7], "once upon wé0 time"]), (None, corpus[1]), (3, corpus[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    words = lm.word_counts(df)
+    vocab, table = lm.train(df, p)
+    sh, tokens = lm.shares(words, vocab, p), words.groupBy().sum("n").first()[0]
+    plain = {(r.doc_id, r.n_tokens): r.pll for r in lm.score(df, vocab, table, p, sh).collect()}
+    texts = [[b"", *plain_words(t), b""] for _, t in rows]
+    known = {b"", *vocab}
+    word, context = Counter(), Counter()
+    for x in texts:
+        for i in range(1, len(x) - 1):
+            word[x[i - 1:i + 2][0], x[i], x[i + 1]] += 1
+            context[x[i - 1], x[i + 1]] += 1
+    share = dict(zip(sh.own, zip(sh.tokens, sh.logs)))
+
+    def log_net(x, i):
+        def symbol(w):
+            return 0 if w == b"" else vocab.index(w) + 1 if w in vocab else 1 + p.words + plain_class(w, p)
+        own = 0.0 if x[i] in vocab else share[x[i]][1] if x[i] in share else sh.rest[plain_class(x[i], p)]
+        return float(table[symbol(x[i - 1]), symbol(x[i + 1]), symbol(x[i])]) + float(own)
+
+    want = []
+    for (i, _), x in zip(rows, texts):
+        total = 0.0
+        for k in range(1, len(x) - 1):
+            net = log_net(x, k)
+            if not known.issuperset((x[k - 1], x[k + 1])):
+                c, n = word[x[k - 1], x[k], x[k + 1]] - 1, context[x[k - 1], x[k + 1]] - 1
+                net = math.log((c + p.prior * math.exp(net)) / (n + p.prior))
+            total += net
+        want.append((i, len(x) - 2, total))
+    got = [(r.doc_id, r.n_tokens, r.pll) for r in lm.score_corpus(df, vocab, table, p, sh, tokens).collect()]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    assert len(got) == len(rows)
+    for g, w in zip(sorted(got, key=order), sorted(want, key=order)):
+        assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], abs=0.02)
+    assert any(abs(pll - plain[i, n]) > 1 for i, n, pll in got)
+
+
+def test_documents_that_occur_twice_score_apart(spark, tmp_path):
+    """A model of class counts alone scored them like all others."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(3000)], weights=[1 / (i + 1) for i in range(3000)], k=rng.randint(20, 60))) for _ in range(400)]
+    rows = list(enumerate(texts + texts[:20]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.mean_pll for r in lm.op2(spark, str(tmp_path)).collect()}
+    bar = sorted(got[i] for i in range(20, 400))[342]
+    assert len(got) == 420 and sum(got[i] > bar for i in [*range(20), *range(400, 420)]) == 40
+
+
+def test_corpus_without_words(spark):
+    p = lm.LmParams(words=4, classes=3, steps=5)
+    for rows, want in ([(1, None), (None, "")], [(1, 0, 0.0, None), (None, 0, 0.0, None)]), ([], []):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        words = lm.word_counts(df)
+        vocab, table = lm.train(df, p)
+        got = lm.score_corpus(df, vocab, table, p, lm.shares(words, vocab, p), 0).collect()
+        assert sorted(((r.doc_id, r.n_tokens, r.pll, r.mean_pll) for r in got), key=str) == sorted(want, key=str)
