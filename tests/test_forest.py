@@ -119,3 +119,33 @@ def test_moved_rows_lie_beside_their_like(spark):
         assert key == sorted(key)
     spread = spark.range(100, numPartitions=8)
     assert models.dealt(spread, 100, ModelParams(), ["id"]) is spread
+
+
+def test_rows_for_all_cores_lie_in_no_more_partitions(spark):
+    """Nine partitions on six cores were left as they were: two waves, the second half empty, and unsorted."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(1000, numPartitions=2 * cores + 1).withColumn("x", F.expr("(id * 7919) % 1000"))
+    for most, want in ((10_000, cores), (1000 // (2 * cores), 2 * cores)):
+        got = models.dealt(rows, 1000, ModelParams(task_rows=100, most_task_rows=most), ["x"])
+        parts = [[r.x for r in p] for p in got.rdd.glom().collect()]
+        assert len(parts) == want and all(p == sorted(p) for p in parts) and sum(map(len, parts)) == 1000
+        assert models.dealt(got, 1000, ModelParams(task_rows=100, most_task_rows=most), ["x"]) is got
+
+
+def test_large_forests_grow_in_parts_that_fit_the_cache():
+    """All trees grew at once up to tree_rows, so deep levels' statistics were far larger than the CPU's cache."""
+    p = ModelParams()
+    assert models.forest_sizes(500, 10_000) == [500] and models.forest_sizes(500, 79_000) == [500]
+    for trees, rows in ((500, 650_000), (300, 5_850_000), (400, 470_000)):
+        sizes = models.forest_sizes(trees, rows)
+        assert sum(sizes) == trees and len(sizes) > 1
+        assert max(sizes) <= p.part_trees or min(sizes) * rows >= 0.9 * p.part_rows
+
+
+def test_parts_of_a_forest_read_kept_rows(spark, monkeypatch):
+    """Every pass before the first level, of every part, made the features anew."""
+    plans = []
+    monkeypatch.setattr(models.RandomForestRegressor, "fit", lambda self, df, *a, f=models.RandomForestRegressor.fit:
+                        plans.append(df._jdf.queryExecution().analyzed().toString()) or f(self, df, *a))
+    models.train_time(one_partition(spark, "ReDonate", "TargetCategory", "FutureMedianAmount"), C, AnalysisParams(), PARTED)
+    assert len(plans) > 1 and all(x.startswith("LogicalRDD") and "\n" not in x.strip() for x in plans)
